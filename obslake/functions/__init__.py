@@ -4,6 +4,7 @@ inside whole-stage codegen; nothing here runs Python per row."""
 from obslake.functions.expr import (  # noqa: F401
     batch_key,
     day_key,
+    day_of_batch,
     document_key,
     hash_bucket,
     json_text,

@@ -40,6 +40,11 @@ def day_key(ts) -> Column:
     return F.date_format(_c(ts), DAY_KEY_FORMAT)
 
 
+def day_of_batch(batch="date") -> Column:
+    """``yyyy-MM-dd`` prefix of a batch key (its day)."""
+    return F.substring(_c(batch), 1, 10)
+
+
 def pct_text(ratio) -> Column:
     """SCL-4: a ratio in [0, 1] as percentage text with two decimals."""
     return F.format_string("%.2f%%", _c(ratio) * F.lit(100.0))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.functions.expr import (
-    batch_key, day_key, document_key, json_text, map_text, pct_text, sorted_map,
+    batch_key, day_key, day_of_batch, document_key, json_text, map_text, pct_text, sorted_map,
 )
 from obslake.modeling.report import score_report
 from obslake.modeling import stages as ml
@@ -261,7 +261,7 @@ def q_precision_by_label(spark, sf_dir):
 
 REPORT_SCHEMA = ("model_type string, model_location string, datetime string, accuracy string, "
                  "precision string, city_indexes map<string,double>, "
-                 "city_guesses map<string,double>, date string")
+                 "city_guesses map<string,double>, date string, day string")
 
 
 def _report_text(rep: DataFrame) -> DataFrame:
@@ -278,7 +278,7 @@ def q_batch_report(spark, sf_dir):
     scored = idx.transform(o).withColumn("prediction", si.value_band_prediction())
     rep = score_report(scored, "rule:value-band", order_col="event_id")
     out = scratch_path(spark, "reports", "batch_report", unique=True)
-    write_documents(rep, out, partition_col="date")
+    write_documents(rep.withColumn("day", day_of_batch("date")), out, partition_col="day")
     return _report_text(spark.read.schema(REPORT_SCHEMA).json(out))
 
 

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from obslake.functions.expr import batch_key, day_key
 from obslake.operators.dedupe import first_wins
-from obslake.session import scratch_path
+from obslake.session import path_exists, scratch_path
 from obslake.sinks.lake import land_documents
 from obslake.sources.tables import read_table
 
@@ -88,21 +87,13 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException:
-        return False
-
-
 def event_lake(spark: SparkSession, sf_dir: str) -> str:
     """Land the events as a document lake (SNK-3) once per input directory
     in the shared scratch folder; later calls reuse it (``_SUCCESS`` marks a
     finished write)."""
     tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     root = scratch_path(spark, "lakes", f"events-{tag}")
-    if not _exists(spark, f"{root}/_SUCCESS"):
+    if not path_exists(spark, f"{root}/_SUCCESS"):
         land_documents(event_documents(spark, sf_dir), root, mode="overwrite")
     return root
 

@@ -57,6 +57,9 @@ SOURCES_PER_BATCH = 3
 # --- end fixed values ---
 
 BATCH_COL = "date"
+# Physical partition column of the flat table and of reports: the day of the
+# batch key (24 hourly batches per directory instead of one each).
+PARTITION_COL = "day"
 SOURCE_COL = "city"
 KEY_COLUMNS = [BATCH_COL, SOURCE_COL]
 LABEL_INDEX_COL = "city_index"

@@ -66,3 +66,12 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         segs.append(uuid.uuid4().hex)
     return "/".join(segs)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the Hadoop FileSystem of the path's
+    scheme (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))

@@ -4,25 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.operators.dedupe import first_wins
-from obslake.schema import BATCH_COL, KEY_COLUMNS
+from obslake.session import path_exists
+from obslake.functions.expr import day_of_batch
+from obslake.schema import BATCH_COL, KEY_COLUMNS, PARTITION_COL
 
 
 def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The Parquet table at ``path``, or None before its first write."""
+    if not path_exists(spark, path):
         return None
+    return spark.read.parquet(path)
 
 
 def insert_if_absent(batch: DataFrame, target_path: str,
                      keys: Sequence[str] = tuple(KEY_COLUMNS),
                      order_by: Sequence[str] = ("file_path", "time"),
-                     partition_col: str = BATCH_COL) -> int:
+                     partition_col: str = PARTITION_COL,
+                     partition_expr: Column | None = None) -> int:
     """SNK-1 / JN-2: keyed insert-if-absent ("ON CONFLICT DO NOTHING").
 
     1. first-wins inside the batch: per key, the row with the smallest
@@ -30,26 +32,41 @@ def insert_if_absent(batch: DataFrame, target_path: str,
        map-side instead of landing in one task);
     2. rows with a null key are never inserted (they belong to quarantine);
     3. anti-join against the keys already in the target, reading only the key
-       columns of the target partitions whose batch key occurs in this batch;
-    4. append, partitioned by the batch key.
+       columns of the target partitions this batch touches;
+    4. append, partitioned by ``partition_col`` (by default the day of the
+       batch key, computed by ``partition_expr``).
 
     A replay of the same batch adds nothing, so a retried micro-batch or job
     is harmless.  Returns the number of rows inserted, observed during the
     write itself (no second pass).
     """
     spark = batch.sparkSession
+    if partition_expr is None and partition_col == PARTITION_COL:
+        partition_expr = day_of_batch(BATCH_COL)
     rows = first_wins(batch.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)),
                       keys, order_by)
+    if partition_expr is not None:
+        rows = rows.withColumn(partition_col, partition_expr)
     existing = read_table_or_none(spark, target_path)
     if existing is not None:
         touched = rows.select(partition_col).distinct()
-        existing_keys = (existing.select(*keys)
+        existing_keys = (existing.select(partition_col, *keys)
                          .join(touched, partition_col, "left_semi"))
-        rows = rows.join(existing_keys, list(keys), "left_anti")
+        rows = rows.join(existing_keys, [partition_col, *keys], "left_anti")
+    cols = list(dict.fromkeys([*batch.columns, partition_col]))
     seen = Observation("insert_if_absent")
-    out = rows.select(*batch.columns).observe(seen, F.count(F.lit(1)).alias("inserted"))
-    out.write.mode("append").partitionBy(partition_col).parquet(target_path)
-    return int(seen.get["inserted"])
+    out = rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("inserted"))
+    # Cluster by the partition column so each directory gets few files (a
+    # plain write opens one file per task per directory); AQE splits a
+    # partition value that holds a large share of the rows.
+    (out.hint("rebalance", partition_col)
+        .write.mode("append").partitionBy(partition_col).parquet(target_path))
+    try:
+        return int(seen.get["inserted"])
+    except Exception:  # noqa: BLE001
+        # AQE replaces a plan it proves empty (e.g. a full replay) with an
+        # empty relation, dropping the metrics node: nothing was written.
+        return 0
 
 
 def append_jdbc(df: DataFrame, url: str, table: str,
@@ -65,10 +82,10 @@ def write_documents(df: DataFrame, path: str, partition_col: str | None = None,
                     mode: str = "append") -> None:
     """SNK-5 / SNK-6: rows as JSON documents (metadata next to a model,
     one report per batch under ``date=<batch>``)."""
-    w = df.write.mode(mode)
     if partition_col:
-        w = w.partitionBy(partition_col)
-    w.json(path)
+        df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col).json(path)
+    else:
+        df.write.mode(mode).json(path)
 
 
 def preview(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
