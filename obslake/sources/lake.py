@@ -60,8 +60,12 @@ def with_reject_reason(df: DataFrame, body_col: str = "current",
     A body that is not JSON (``<html>…``) sets the corrupt-record column; a
     well-formed body of the wrong shape (``{"error": true}``) does not, it only
     leaves the measurement struct null, so both are tested.  A document whose
-    path names no source is rejected too: it has no key.
+    path names no source is rejected too: it has no key.  Apply it to the
+    scanned documents (before flattening); the source is derived from
+    ``file_path`` when not yet present.
     """
+    if source_col not in df.columns and "file_path" in df.columns:
+        df = df.withColumn(source_col, source_from_path("file_path"))
     reasons: list[tuple[Column, str]] = []
     if CORRUPT_COL in df.columns:
         reasons.append((F.col(CORRUPT_COL).isNotNull(), "malformed"))
