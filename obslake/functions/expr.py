@@ -41,8 +41,9 @@ def day_key(ts) -> Column:
 
 
 def day_of_batch(batch="date") -> Column:
-    """``yyyy-MM-dd`` prefix of a batch key (its day)."""
-    return F.substring(_c(batch), 1, 10)
+    """The day of a batch key, as a DATE (what partition discovery reads
+    back from a ``day=yyyy-MM-dd`` directory)."""
+    return F.to_date(F.substring(_c(batch), 1, 10), "yyyy-MM-dd")
 
 
 def pct_text(ratio) -> Column:

@@ -261,7 +261,7 @@ def q_precision_by_label(spark, sf_dir):
 
 REPORT_SCHEMA = ("model_type string, model_location string, datetime string, accuracy string, "
                  "precision string, city_indexes map<string,double>, "
-                 "city_guesses map<string,double>, date string, day string")
+                 "city_guesses map<string,double>, date string, day date")
 
 
 def _report_text(rep: DataFrame) -> DataFrame:
