@@ -176,6 +176,12 @@ def q_union_cities(spark, sf_dir):
     return metrics.union_sources(parts)
 
 
+def q_union_positional(spark, sf_dir):
+    o = _obs(spark, sf_dir).select(*OBS_COLS)
+    parts = [o.where(F.col("city") == c) for c in ("click", "view", "error")]
+    return metrics.union_sources(parts, by_name=False)
+
+
 def q_pct_text(spark, sf_dir):
     o = _obs(spark, sf_dir, cols=())
     clean = quality.keep_complete(o, N)
@@ -320,6 +326,43 @@ def q_model_metadata(spark, sf_dir):
                        "training_split_used", "training_entries_count", "paramGridBuilderValues")
 
 
+def _event_flat_table(spark, sf_dir) -> str:
+    """The Load job's output for the events stand-in, with model inputs."""
+    flat = scratch_path(spark, "tables", "event_flat", unique=True)
+    r = si.with_event_features(si.event_readings(spark, sf_dir))
+    insert_if_absent(r, flat, order_by=si.EVENT_ORDER)
+    return flat
+
+
+def q_train_job(spark, sf_dir):
+    """The Train job as run in production: flat table -> complete batches ->
+    fit -> model + metadata document; the metadata is read back."""
+    from obslake.plans.jobs import train_job
+    store = scratch_path(spark, "models", "train_job", unique=True)
+    train_job(spark, _event_flat_table(spark, sf_dir), store, "2024-01-31",
+              features=si.EVENT_FEATURES, expected=N)
+    meta = spark.read.schema(
+        "input_columns array<string>, training_split_used string, "
+        "training_entries_count bigint, paramGridBuilderValues string"
+    ).json(f"{store}/date=2024-01-31/custom_model_metadata")
+    return meta.select(F.array_join("input_columns", ",").alias("input_columns"),
+                       "training_split_used", "training_entries_count", "paramGridBuilderValues")
+
+
+def q_score_job(spark, sf_dir):
+    """The Score job over every batch of the document lake with a model the
+    Train job saved; reported per batch.  The deterministic part of the
+    report (label index per source) is returned for the oracle."""
+    from obslake.plans.jobs import score_job, train_job
+    store = scratch_path(spark, "models", "score_job", unique=True)
+    train_job(spark, _event_flat_table(spark, sf_dir), store, "2024-01-31",
+              features=si.EVENT_FEATURES, expected=N)
+    rep = score_job(spark, si.event_lake(spark, sf_dir), None, store, schema=si.EVENT_DOC,
+                    prepare=si.with_event_features,
+                    as_of_day="2024-01-31")
+    return rep.select("datetime", "model_type", map_text("city_indexes").alias("city_indexes"))
+
+
 # --- streaming (STR-*) -------------------------------------------------------
 
 def _event_stream(spark, sf_dir):
@@ -412,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_split": q_hash_split,
     "random_split": q_random_split,
     "union_cities": q_union_cities,
+    "union_positional": q_union_positional,
     "pct_text": q_pct_text,
     "batch_key": q_batch_key,
     "object_key": q_object_key,
@@ -428,6 +472,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_score_report": q_train_score_report,
     "model_roundtrip": q_model_roundtrip,
     "model_metadata": q_model_metadata,
+    "train_job": q_train_job,
+    "score_job": q_score_job,
     "stream_ingest": q_stream_ingest,
     "stream_dedupe": q_stream_dedupe,
     "stream_score": q_stream_score,

@@ -13,11 +13,12 @@ scheduler (cron, Airflow, a streaming trigger) stays outside.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obslake.functions.expr import day_of_batch
 from obslake.modeling import stages as ml
@@ -73,7 +74,7 @@ def training_rows(flat: DataFrame, features: Sequence[str] = tuple(FEATURE_COLUM
 def train_job(spark: SparkSession, flat_path: str, model_store: str, day: str,
               features: Sequence[str] = tuple(FEATURE_COLUMNS),
               expected: int = SOURCES_PER_BATCH, strict: bool = False,
-              train_pct: int | None = None, seed: int = 42) -> str:
+              train_pct: int | None = None, seed: int | None = 42) -> str:
     """Train: fit on the flat table's complete batches, save the model and
     its metadata document; returns the model path.
 
@@ -93,17 +94,24 @@ def train_job(spark: SparkSession, flat_path: str, model_store: str, day: str,
     return path
 
 
-def score_job(spark: SparkSession, lake_root: str, batches: Sequence[str], model_store: str,
-              report_root: str | None = None) -> DataFrame:
-    """Score: the given batches, newest model on or before the first batch's
-    day, one report row per batch (written as JSON under ``day=`` when
-    ``report_root`` is given)."""
-    day = min(batches)[:10]
+def score_job(spark: SparkSession, lake_root: str, batches: Sequence[str] | None, model_store: str,
+              report_root: str | None = None, schema: StructType = RAW,
+              prepare: Callable[[DataFrame], DataFrame] | None = None,
+              as_of_day: str | None = None) -> DataFrame:
+    """Score: the given batches (all batches when None), newest model on or
+    before ``as_of_day`` (default: the first batch's day), one report row per
+    batch (written as JSON under ``day=`` when ``report_root`` is given).
+    ``prepare`` derives model inputs from the flattened documents when they
+    are not stored as-is."""
+    day = as_of_day or (min(batches)[:10] if batches else None)
     path = ml.latest_model_path(spark, model_store, day)
     if path is None:
         raise FileNotFoundError(f"no model on or before {day} in {model_store}")
     model = ml.for_scoring(ml.PipelineModel.load(path))
-    docs = flatten(scan_batch(spark, lake_root, list(batches)))
+    raw = scan_batch(spark, lake_root, list(batches), schema) if batches else scan_lake(spark, lake_root, schema)
+    docs = flatten(raw)
+    if prepare is not None:
+        docs = prepare(docs)
     scored = model.transform(docs.dropna(subset=list(_assembler_inputs(model))))
     report = score_report(scored, path, label_col=LABEL_INDEX_COL)
     if report_root:

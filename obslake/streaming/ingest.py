@@ -26,9 +26,15 @@ def start_load_stream(readings: DataFrame, target_path: str, checkpoint: str,
     service would use ``{"processingTime": "3 minutes"}``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        n = insert_if_absent(batch, target_path, keys, order_by)
-        if on_batch is not None:
-            on_batch(batch, batch_id, n)
+        # The insert reads the micro-batch twice (rows, and the touched
+        # partitions that prune the target scan): persist it once.
+        batch.persist()
+        try:
+            n = insert_if_absent(batch, target_path, keys, order_by)
+            if on_batch is not None:
+                on_batch(batch, batch_id, n)
+        finally:
+            batch.unpersist()
 
     return (readings.writeStream
             .foreachBatch(write)
