@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     there.  AQE stays on so joins re-plan from measured sizes and skewed
     shuffle partitions are split.
     """
+    listing = str(int(cores) * 2) if str(cores).isdigit() else "16"
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -32,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("OBSLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Listing a lake of many small directories: a few listing tasks, not
+        # one task per directory (the default allows up to 10,000).
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", listing)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,6 +7,7 @@ hidden ``_metadata`` column, SRC-5 raw payload decoding with quarantine.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,15 +41,30 @@ def scan_lake(spark: SparkSession, root: str, schema: StructType = RAW,
     return df.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
+_PLAIN_KEY = re.compile(r"^[A-Za-z0-9_.-]+$")
+
+
 def scan_batch(spark: SparkSession, root: str, batches: str | Iterable[str],
-               schema: StructType = RAW) -> DataFrame:
+               schema: StructType = RAW, max_direct: int = 256) -> DataFrame:
     """SRC-2: only the documents of the given batch key(s).
 
-    One root scan plus a filter on the partition column: Catalyst turns it into
-    ``PartitionFilters`` so other batches' directories are never listed into
-    splits, and all sources of the batch come back in one read (no per-source
-    read + union)."""
+    A handful of batches is read straight from their ``date=<key>``
+    directories with ``basePath`` set to the lake root, so only those
+    directories are listed and ``date`` is still a column; all sources of a
+    batch come back in one read (no per-source read + union).  Many batches
+    (or keys that would need path escaping) fall back to one root scan with a
+    filter on the partition column, which Catalyst turns into
+    ``PartitionFilters``."""
     keys = [batches] if isinstance(batches, str) else list(batches)
+    if 0 < len(keys) <= max_direct and all(_PLAIN_KEY.match(k) for k in keys):
+        from obslake.session import path_exists
+        base = root.rstrip("/")
+        paths = [f"{base}/{BATCH_COL}={k}" for k in keys]
+        paths = [p for p in paths if path_exists(spark, p)]
+        if paths:
+            df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
+                  .option("basePath", base).json(paths))
+            return df.select("*", F.col("_metadata.file_path").alias("file_path"))
     return scan_lake(spark, root, schema).where(F.col(BATCH_COL).isin(keys))
 
 

@@ -95,12 +95,18 @@ def test_source_regex_both_layouts(spark):
     assert got == ["miami", "nassau", None]
 
 
-def test_batch_scan_prunes_partitions(spark, lake):
+def test_batch_scan_reads_only_its_directories(spark, lake):
     _complete_lake(lake)
     df = flatten(scan_batch(spark, lake.root, D2))
-    assert sorted(r.city for r in df.collect()) == sorted(CITIES)
+    assert sorted((r.date, r.city) for r in df.collect()) == sorted((D2, c) for c in CITIES)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan and D2 in plan
+    assert f"date={D2}" in plan and f"date={D1}" not in plan
+    # Many batches, or a missing one: root scan + partition filter.
+    many = flatten(scan_batch(spark, lake.root, [D1, D2, "2030-01-01_0000"], max_direct=1))
+    assert many.count() == 6
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [date#" in plan or "PartitionFilters: [isnotnull(date" in plan
+    assert flatten(scan_batch(spark, lake.root, ["2030-01-01_0000"])).count() == 0
 
 
 def test_provenance_does_not_block_pruning(spark, lake):
