@@ -18,7 +18,11 @@ def batch_completeness(readings: DataFrame, event_time: str, source_col: str = S
     ``withWatermark`` needs a TIMESTAMP (not TIMESTAMP_NTZ) column, so the
     event time is cast; the window start is cast back before formatting so the
     batch key is the original wall-clock hour.  The per-window state is a set
-    of sources (bounded by the number of sources)."""
+    of sources (bounded by the number of sources).
+
+    Run it in ``append`` mode in production: a window is emitted once the
+    watermark passes its end and its state is dropped then.  ``complete`` mode
+    (used only to compare with a batch answer) keeps every window's state."""
     ts = F.col(event_time).cast("timestamp")
     df = readings.withColumn("_et", ts).withWatermark("_et", delay)
     out = df.groupBy(F.window("_et", window).alias("w")).agg(
