@@ -20,7 +20,6 @@ from obslake.functions.expr import (
 from obslake.modeling.report import score_report
 from obslake.modeling import stages as ml
 from obslake.operators import metrics, quality, split
-from obslake.operators.dedupe import first_wins
 from obslake.operators.flatten import flatten
 from obslake.plans import standins as si
 from obslake.session import scratch_path
