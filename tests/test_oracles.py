@@ -16,9 +16,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9) + 0.0)
+        return "nan" if math.isnan(v) else repr(v)
     return repr(v)
 
 
@@ -48,6 +52,9 @@ def test_query_matches_oracle(spark, con, name):
         return
     rel = con.sql(sql)
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for c, t in df.dtypes:
+        assert SPARK_TO_DUCK.get(t, t) == duck_types[c], (c, t, duck_types[c])
     perm = [rel.columns.index(c) for c in df.columns]
     expected = sorted(tuple(_norm(r[i]) for i in perm) for r in rel.fetchall())
     assert sorted(tuple(_norm(x) for x in r) for r in rows) == expected
