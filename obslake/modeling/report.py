@@ -49,3 +49,15 @@ def score_report(scored: DataFrame, model_location: str,
         "city_guesses",
         F.col(batch_col),
     )
+
+
+REPORT_SCHEMA = ("model_type string, model_location string, datetime string, accuracy string, "
+                 "precision string, city_indexes map<string,double>, "
+                 "city_guesses map<string,double>")
+
+
+def read_reports(spark, root: str, multiline: bool = False):
+    """Report documents under ``root`` (``date=``/``day=`` directories are
+    discovered as columns).  ``multiline`` reads pretty-printed files holding
+    one document each."""
+    return spark.read.schema(REPORT_SCHEMA).option("multiLine", multiline).json(root)

@@ -87,10 +87,30 @@ def save_model(model: PipelineModel, store: str, day: str) -> str:
     return path
 
 
+def _discovered_models(spark: SparkSession, store: str) -> DataFrame:
+    """Models saved without a registry (``<store>/date=<day>/model``, e.g. by
+    an earlier system): found through partition discovery over the model
+    metadata files, not by listing directories on the driver."""
+    base = store.rstrip("/")
+    meta = (spark.read.option("basePath", base)
+            .text(f"{base}/date=*/model/metadata"))
+    return meta.select(F.col("date").cast("string").alias("model_day")).distinct() \
+               .select("model_day", F.concat(F.lit(f"{base}/date="), "model_day",
+                                             F.lit("/model")).alias("model_path"))
+
+
 def latest_model_path(spark: SparkSession, store: str, as_of_day: str | None = None) -> str | None:
     """SRC-4 resolver: path of the newest model saved on or before
-    ``as_of_day`` (newest overall when None)."""
-    reg = spark.read.parquet(f"{store.rstrip('/')}/_registry")
+    ``as_of_day`` (newest overall when None).  Reads the store's registry
+    when it has one, else discovers ``date=<day>/model`` directories."""
+    from obslake.session import path_exists
+    reg_path = f"{store.rstrip('/')}/_registry"
+    if path_exists(spark, reg_path):
+        reg = spark.read.parquet(reg_path)
+    elif path_exists(spark, store):
+        reg = _discovered_models(spark, store)
+    else:
+        return None
     if as_of_day is not None:
         reg = reg.where(F.col("model_day") <= as_of_day)
     row = reg.orderBy(F.col("model_day").desc(), F.col("model_path").desc()).first()
@@ -105,6 +125,16 @@ def load_model(spark: SparkSession, store: str, as_of_day: str | None = None) ->
     return PipelineModel.load(path)
 
 
+METADATA_SCHEMA = ("input_columns array<string>, training_split_used string, "
+                   "training_entries_count bigint, paramGridBuilderValues string")
+
+
+def read_metadata(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Training metadata documents; ``multiline`` for pretty-printed files
+    (one document per file)."""
+    return spark.read.schema(METADATA_SCHEMA).option("multiLine", multiline).json(path)
+
+
 def training_metadata(train: DataFrame, features: Sequence[str],
                       split_used: str = "None") -> DataFrame:
     """ML-9: one row — feature names, split used, training row count, grid

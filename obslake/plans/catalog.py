@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from obslake.functions.expr import (
     batch_key, day_key, day_of_batch, document_key, json_text, map_text, pct_text, sorted_map,
 )
-from obslake.modeling.report import score_report
+from obslake.modeling.report import read_reports, score_report
 from obslake.modeling import stages as ml
 from obslake.operators import metrics, quality, split
 from obslake.operators.flatten import flatten
@@ -264,11 +264,6 @@ def q_precision_by_label(spark, sf_dir):
 
 # --- reports and the model (ML-*, SNK-4..6, SRC-4) --------------------------
 
-REPORT_SCHEMA = ("model_type string, model_location string, datetime string, accuracy string, "
-                 "precision string, city_indexes map<string,double>, "
-                 "city_guesses map<string,double>, date string, day date")
-
-
 def _report_text(rep: DataFrame) -> DataFrame:
     return rep.select("datetime", "model_type", "model_location", "accuracy", "precision",
                       map_text("city_indexes").alias("city_indexes"),
@@ -284,7 +279,7 @@ def q_batch_report(spark, sf_dir):
     rep = score_report(scored, "rule:value-band", order_col="event_id")
     out = scratch_path(spark, "reports", "batch_report", unique=True)
     write_documents(rep.withColumn("day", day_of_batch("date")), out, partition_col="day")
-    return _report_text(spark.read.schema(REPORT_SCHEMA).json(out))
+    return _report_text(read_reports(spark, out))
 
 
 def _clean_event_training(spark, sf_dir):
@@ -318,9 +313,7 @@ def q_model_metadata(spark, sf_dir):
     meta = ml.training_metadata(_clean_event_training(spark, sf_dir), si.EVENT_FEATURES)
     out = scratch_path(spark, "models", "metadata", unique=True)
     write_documents(meta.coalesce(1), out)
-    back = spark.read.schema(
-        "input_columns array<string>, training_split_used string, "
-        "training_entries_count bigint, paramGridBuilderValues string").json(out)
+    back = ml.read_metadata(spark, out)
     return back.select(F.array_join("input_columns", ",").alias("input_columns"),
                        "training_split_used", "training_entries_count", "paramGridBuilderValues")
 
@@ -340,10 +333,7 @@ def q_train_job(spark, sf_dir):
     store = scratch_path(spark, "models", "train_job", unique=True)
     train_job(spark, _event_flat_table(spark, sf_dir), store, "2024-01-31",
               features=si.EVENT_FEATURES, expected=N)
-    meta = spark.read.schema(
-        "input_columns array<string>, training_split_used string, "
-        "training_entries_count bigint, paramGridBuilderValues string"
-    ).json(f"{store}/date=2024-01-31/custom_model_metadata")
+    meta = ml.read_metadata(spark, f"{store}/date=2024-01-31/custom_model_metadata")
     return meta.select(F.array_join("input_columns", ",").alias("input_columns"),
                        "training_split_used", "training_entries_count", "paramGridBuilderValues")
 

@@ -110,3 +110,35 @@ def test_report_three_rows(spark):
     assert r.accuracy == "33.33%" and r.precision == "0.00%"
     assert r.city_indexes == {"havana": 0.0, "miami": 1.0, "nassau": 2.0}
     assert r.city_guesses == {"havana": 2.0, "miami": 1.0, "nassau": 1.0}
+
+
+def test_models_without_registry_are_discovered(spark, training, tmpdir_path):
+    model = ml.fit(ml.build_stages(si.EVENT_FEATURES, seed=42), training)
+    store = os.path.join(tmpdir_path, "models")
+    for day in ("2025-09-01", "2025-09-09"):
+        model.write().overwrite().save(f"{store}/date={day}/model")
+    assert ml.latest_model_path(spark, store, "2025-09-05") == f"{store}/date=2025-09-01/model"
+    assert ml.latest_model_path(spark, store) == f"{store}/date=2025-09-09/model"
+    assert ml.latest_model_path(spark, os.path.join(tmpdir_path, "nothing")) is None
+
+
+def test_read_pretty_printed_documents(spark, tmpdir_path):
+    import json
+    from obslake.modeling.report import read_reports
+    d = os.path.join(tmpdir_path, "reports", "hourly", "date=2025-09-09_1500")
+    os.makedirs(d)
+    doc = {"model_type": "PipelineModel", "model_location": "m", "datetime": "2025-09-09_1500",
+           "accuracy": "66.67%", "precision": "100.00%",
+           "city_indexes": {"miami": 0.0, "nassau": 1.0, "havana": 2.0},
+           "city_guesses": {"miami": 0.0, "nassau": 2.0, "havana": 2.0}}
+    with open(os.path.join(d, "2025-09-09_1500_report.json"), "w") as f:
+        f.write(json.dumps(doc, indent=2))
+    r = read_reports(spark, os.path.join(tmpdir_path, "reports", "hourly"), multiline=True).first()
+    assert r.date == "2025-09-09_1500" and r.city_guesses["nassau"] == 2.0
+    m = os.path.join(tmpdir_path, "meta")
+    os.makedirs(m)
+    with open(os.path.join(m, "custom_model_metadata.json"), "w") as f:
+        f.write(json.dumps({"input_columns": ["a", "b"], "training_split_used": "None",
+                            "training_entries_count": 7, "paramGridBuilderValues": None}, indent=2))
+    row = ml.read_metadata(spark, m, multiline=True).first()
+    assert row.input_columns == ["a", "b"] and row.training_entries_count == 7
