@@ -47,9 +47,8 @@ def load_job(spark: SparkSession, lake_root: str, target: str,
     are appended to ``quarantine`` when given, never to the flat table.  The
     scan is read once: good and rejected rows are split from one persisted
     frame."""
-    raw = scan_lake(spark, lake_root, keep_corrupt=True)
-    if batches:
-        raw = raw.where(F.col(BATCH_COL).isin(list(batches)))  # partition pruning
+    raw = (scan_batch(spark, lake_root, list(batches), keep_corrupt=True) if batches
+           else scan_lake(spark, lake_root, keep_corrupt=True))
     flagged = with_reject_reason(raw)
     if quarantine:
         flagged = flagged.persist()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,10 @@ def insert_if_absent(batch: DataFrame, target_path: str,
     A replay of the same batch adds nothing, so a retried micro-batch or job
     is harmless.  Returns the number of rows inserted, observed during the
     write itself (no second pass).
+
+    One writer per target (one job or one streaming query): two concurrent
+    writers could both find a key absent.  Concurrent writers need a table
+    format with an atomic MERGE.
     """
     spark = batch.sparkSession
     if partition_expr is None and partition_col == PARTITION_COL:
@@ -63,7 +68,7 @@ def insert_if_absent(batch: DataFrame, target_path: str,
         .write.mode("append").partitionBy(partition_col).parquet(target_path))
     try:
         return int(seen.get["inserted"])
-    except Exception:  # noqa: BLE001
+    except Py4JJavaError:
         # AQE replaces a plan it proves empty (e.g. a full replay) with an
         # empty relation, dropping the metrics node: nothing was written.
         return 0
@@ -81,7 +86,7 @@ def append_jdbc(df: DataFrame, url: str, table: str,
 def write_documents(df: DataFrame, path: str, partition_col: str | None = None,
                     mode: str = "append") -> None:
     """SNK-5 / SNK-6: rows as JSON documents (metadata next to a model,
-    one report per batch under ``date=<batch>``)."""
+    reports under ``<partition_col>=<value>`` directories)."""
     if partition_col:
         df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col).json(path)
     else:

@@ -20,6 +20,14 @@ from obslake.functions.expr import source_from_path
 CORRUPT_COL = "_corrupt_record"
 
 
+def _with_corrupt(schema: StructType | str) -> StructType:
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if CORRUPT_COL in schema.fieldNames():
+        return schema
+    return StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
+
+
 def scan_lake(spark: SparkSession, root: str, schema: StructType = RAW,
               keep_corrupt: bool = False, multiline: bool = False) -> DataFrame:
     """SRC-1 + SRC-3: every document under ``root`` with its source file.
@@ -30,8 +38,8 @@ def scan_lake(spark: SparkSession, root: str, schema: StructType = RAW,
     pushdown above it, while ``_metadata`` lets a later ``date`` filter reach
     ``PartitionFilters`` and lets dynamic partition pruning act on joins.
     """
-    if keep_corrupt and CORRUPT_COL not in schema.fieldNames():
-        schema = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
+    if keep_corrupt:
+        schema = _with_corrupt(schema)
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -45,7 +53,8 @@ _PLAIN_KEY = re.compile(r"^[A-Za-z0-9_.-]+$")
 
 
 def scan_batch(spark: SparkSession, root: str, batches: str | Iterable[str],
-               schema: StructType = RAW, max_direct: int = 256) -> DataFrame:
+               schema: StructType = RAW, max_direct: int = 256,
+               keep_corrupt: bool = False) -> DataFrame:
     """SRC-2: only the documents of the given batch key(s).
 
     A handful of batches is read straight from their ``date=<key>``
@@ -62,10 +71,13 @@ def scan_batch(spark: SparkSession, root: str, batches: str | Iterable[str],
         paths = [f"{base}/{BATCH_COL}={k}" for k in keys]
         paths = [p for p in paths if path_exists(spark, p)]
         if paths:
-            df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-                  .option("basePath", base).json(paths))
+            reader = spark.read.schema(_with_corrupt(schema) if keep_corrupt else schema) \
+                .option("mode", "PERMISSIVE").option("basePath", base)
+            if keep_corrupt:
+                reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
+            df = reader.json(paths)
             return df.select("*", F.col("_metadata.file_path").alias("file_path"))
-    return scan_lake(spark, root, schema).where(F.col(BATCH_COL).isin(keys))
+    return scan_lake(spark, root, schema, keep_corrupt).where(F.col(BATCH_COL).isin(keys))
 
 
 def with_reject_reason(df: DataFrame, body_col: str = "current",
@@ -102,10 +114,7 @@ def decode_payload(df: DataFrame, text_col: str, schema: StructType | str,
     """SRC-5 for payloads held as text (a landing column, a Kafka value):
     ``from_json`` in PERMISSIVE mode, keeping the raw text of a body that does
     not parse in ``_corrupt_record``."""
-    if isinstance(schema, str):
-        schema = StructType.fromDDL(schema)
-    if CORRUPT_COL not in schema.fieldNames():
-        schema = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
+    schema = _with_corrupt(schema)
     parsed = F.from_json(F.col(text_col), schema,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
     return df.withColumn(out_col, parsed)

@@ -59,3 +59,15 @@ def test_stream_load_job(spark, lake, tmpdir_path):
     flat = os.path.join(tmpdir_path, "flat")
     jobs.stream_load_job(spark, lake.root, flat, os.path.join(tmpdir_path, "ck")).awaitTermination()
     assert spark.read.parquet(flat).count() == 9
+
+
+def test_load_named_batches_only(spark, lake, tmpdir_path):
+    _fill(lake, range(0, 4))
+    lake.put("2025-09-09_0200", "miami", "<html>bad</html>", name="miami_x.json")
+    flat = os.path.join(tmpdir_path, "flat")
+    quar = os.path.join(tmpdir_path, "q")
+    r = jobs.load_job(spark, lake.root, flat, quar, batches=["2025-09-09_0100", "2025-09-09_0200"])
+    assert r.inserted == 6
+    assert spark.read.parquet(quar).count() == 1
+    assert {x.date for x in spark.read.parquet(flat).select("date").collect()} == {
+        "2025-09-09_0100", "2025-09-09_0200"}
