@@ -16,13 +16,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def source_from_path(path="file_path", regex: str = SOURCE_FROM_PATH_REGEX) -> Column:
+def source_from_path(path="file_path", regex: str = SOURCE_FROM_PATH_REGEX,
+                     empty_as_null: bool = True) -> Column:
     """SCL-1: the source directory of a landed document.
 
-    ``regexp_extract`` yields '' on no match; '' is mapped to null so that
-    unparseable paths never collapse into one key.
-    """
-    return F.nullif(F.regexp_extract(_c(path), regex, 1), F.lit(""))
+    ``regexp_extract`` yields '' on no match; by default '' is mapped to null
+    so that unparseable paths never collapse into one key
+    (``empty_as_null=False`` keeps the plain '' result)."""
+    out = F.regexp_extract(_c(path), regex, 1)
+    return F.nullif(out, F.lit("")) if empty_as_null else out
 
 
 def batch_key(ts) -> Column:

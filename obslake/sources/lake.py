@@ -28,7 +28,7 @@ def _with_corrupt(schema: StructType | str) -> StructType:
     return StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
 
 
-def scan_lake(spark: SparkSession, root: str, schema: StructType = RAW,
+def scan_lake(spark: SparkSession, root: str, schema: StructType | str | None = RAW,
               keep_corrupt: bool = False, multiline: bool = False) -> DataFrame:
     """SRC-1 + SRC-3: every document under ``root`` with its source file.
 
@@ -37,10 +37,14 @@ def scan_lake(spark: SparkSession, root: str, schema: StructType = RAW,
     latter is nondeterministic and blocks partition pruning and predicate
     pushdown above it, while ``_metadata`` lets a later ``date`` filter reach
     ``PartitionFilters`` and lets dynamic partition pruning act on joins.
+
+    ``schema=None`` infers the schema instead (an extra pass over every
+    document, and a field's type may differ between runs); meant for
+    exploring a lake whose fields are not known yet.
     """
-    if keep_corrupt:
-        schema = _with_corrupt(schema)
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    reader = spark.read.option("mode", "PERMISSIVE")
+    if schema is not None:
+        reader = reader.schema(_with_corrupt(schema) if keep_corrupt else schema)
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     if multiline:

@@ -114,3 +114,13 @@ def test_provenance_does_not_block_pruning(spark, lake):
     df = flatten(scan_lake(spark, lake.root)).where(F.col("date") == D1)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert D1 in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_inferred_schema_mode_and_plain_regex(spark, lake):
+    lake.put(D1, "miami", '{"current": {"rain": 0}, "latitude": 1.0, "longitude": 2.0}')
+    lake.put(D1, "nassau", '{"current": {"rain": 0.5}, "latitude": 1.0, "longitude": 2.0}')
+    lake.put(D1, "havana", reading(), name="x.json.bak")
+    df = scan_lake(spark, lake.root, schema=None)
+    assert dict(df.dtypes)["date"] == "string"
+    got = df.select(source_from_path("file_path", empty_as_null=False).alias("c")).collect()
+    assert sorted(r.c for r in got) == ["", "miami", "nassau"]
