@@ -8,7 +8,7 @@
   batch's day, score, write one report document per batch.
 
 Each takes paths, so the same code runs on a laptop and on a cluster; the
-scheduler (cron, Airflow, a streaming trigger) stays outside.
+scheduler (cron, a workflow tool, a streaming trigger) stays outside.
 """
 
 from __future__ import annotations
