@@ -412,6 +412,22 @@ def q_stream_completeness(spark, sf_dir):
     return spark.read.parquet(out).select("batch", F.col("n_sources").cast("bigint").alias("n_sources"))
 
 
+def q_stream_reports(spark, sf_dir):
+    """Score-on-arrival: reports for every batch once all five sources are in.
+    The deterministic part (batch, label index per source) is returned."""
+    from obslake.streaming.reports import start_report_stream
+    model = ml.fit(ml.build_stages(si.EVENT_FEATURES, seed=42), _clean_event_training(spark, sf_dir))
+    scored = scratch_path(spark, "tables", "stream_reports_scored", unique=True)
+    reports = scratch_path(spark, "reports", "stream_reports", unique=True)
+    ckpt = scratch_path(spark, "checkpoints", "stream_reports", unique=True)
+    stream = si.with_event_features(_event_stream(spark, sf_dir))
+    q = start_report_stream(model, stream, scored, reports, ckpt, "memory:fitted",
+                            expected=N, order_by=si.EVENT_ORDER)
+    q.awaitTermination()
+    rep = read_reports(spark, reports)
+    return rep.select("datetime", "model_type", map_text("city_indexes").alias("city_indexes"))
+
+
 # --- flagship ----------------------------------------------------------------
 
 def flagship(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
@@ -467,4 +483,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedupe": q_stream_dedupe,
     "stream_score": q_stream_score,
     "stream_completeness": q_stream_completeness,
+    "stream_reports": q_stream_reports,
 }

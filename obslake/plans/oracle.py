@@ -182,6 +182,12 @@ FROM scored GROUP BY date""",
 )""") + """SELECT date AS datetime, 'PipelineModel' AS model_type,
   string_agg(city || '=' || printf('%.1f', city_index), ',' ORDER BY city) AS city_indexes
 FROM (SELECT DISTINCT date, city FROM ev) e JOIN idx USING (city) GROUP BY date""",
+    "stream_reports": _with(EV, OBS, CLEAN, """idx AS (
+  SELECT city, CAST(row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS DOUBLE) AS city_index
+  FROM clean GROUP BY city
+)""") + """SELECT date AS datetime, 'PipelineModel' AS model_type,
+  string_agg(city || '=' || printf('%.1f', city_index), ',' ORDER BY city) AS city_indexes
+FROM clean JOIN idx USING (city) GROUP BY date""",
     "union_positional": _with(EV, OBS) + (
         f"SELECT {OBS_COLS} FROM obs WHERE city = 'click' UNION ALL "
         f"SELECT {OBS_COLS} FROM obs WHERE city = 'view' UNION ALL "

@@ -3,3 +3,4 @@
 from obslake.streaming.ingest import dedupe_stream, start_load_stream  # noqa: F401
 from obslake.streaming.score import start_score_stream  # noqa: F401
 from obslake.streaming.completeness import batch_completeness  # noqa: F401
+from obslake.streaming.reports import start_report_stream  # noqa: F401

@@ -82,3 +82,42 @@ def test_dedupe_within_watermark(spark, tmpdir_path):
        .trigger(availableNow=True).start().awaitTermination())
     assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [
         ("2024-01-01_1000", "a"), ("2024-01-01_1000", "b")]
+
+
+def test_report_stream_reports_each_batch_once_when_complete(spark, lake, tmpdir_path):
+    from obslake.modeling import stages as ml
+    from obslake.modeling.report import read_reports
+    from obslake.plans import jobs
+    from obslake.streaming.reports import start_report_stream
+    temps = {"miami": 90.0, "nassau": 80.0, "havana": 70.0}
+    for h in range(6):
+        for c, t in temps.items():
+            lake.put(f"2025-09-09_0{h}00", c, reading(temp=t + h % 2))
+    flat = os.path.join(tmpdir_path, "flat")
+    jobs.load_job(spark, lake.root, flat)
+    model = ml.fit(ml.build_stages(seed=1), jobs.training_rows(spark.read.parquet(flat), expected=3))
+
+    live = os.path.join(tmpdir_path, "live")
+    from tests.conftest import Lake
+    live_lake = Lake(live)
+    scored, reports, ck = (os.path.join(tmpdir_path, n) for n in ("scored", "reports", "ck"))
+
+    def run():
+        s = (spark.readStream.schema(RAW).option("maxFilesPerTrigger", 2).json(live)
+             .select("*", F.col("_metadata.file_path").alias("file_path")))
+        start_report_stream(model, flatten(s), scored, reports, ck, "m", expected=3).awaitTermination()
+
+    live_lake.put("2025-09-10_0000", "miami", reading(temp=90.0))
+    live_lake.put("2025-09-10_0000", "nassau", reading(temp=80.0))
+    run()
+    import glob
+    assert not glob.glob(os.path.join(reports, "day=*"))   # incomplete: no report yet
+    live_lake.put("2025-09-10_0000", "havana", reading(temp=70.0))
+    live_lake.put("2025-09-10_0100", "havana", reading(temp=70.0))
+    run()
+    rep = read_reports(spark, reports).collect()
+    assert [r.datetime for r in rep] == ["2025-09-10_0000"] and rep[0].accuracy == "100.00%"
+    # Same files again under a new checkpoint: no second report.
+    ck = os.path.join(tmpdir_path, "ck2")
+    run()
+    assert read_reports(spark, reports).count() == 1
