@@ -31,11 +31,25 @@ def build_stages(features: Sequence[str] = tuple(FEATURE_COLUMNS), label: str =
     return Pipeline(stages=[indexer, assembler, scaler, tree])
 
 
+def _input_columns(pipeline: Pipeline) -> list[str]:
+    cols: list[str] = []
+    for st in pipeline.getStages():
+        if isinstance(st, StringIndexer):
+            cols.append(st.getInputCol())
+        elif isinstance(st, VectorAssembler):
+            cols.extend(st.getInputCols())
+    return list(dict.fromkeys(cols))
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """ML-6.  The prepared rows are persisted (memory, spilling to disk) for
-    the fit's passes: the indexer, the scaler and each tree level would
-    otherwise re-read and re-parse the source.  A lost executor's blocks are
-    recomputed from lineage."""
+    """ML-6.  Only the label and the assembler inputs are kept, and those rows
+    are persisted (memory, spilling to disk) for the fit's passes: the
+    indexer, the scaler and each tree level would otherwise re-read and
+    re-parse the source.  A lost executor's blocks are recomputed from
+    lineage."""
+    needed = _input_columns(pipeline)
+    if needed and all(c in train.columns for c in needed):
+        train = train.select(*needed)
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)
