@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obslake.functions.expr import day_key
@@ -57,6 +57,14 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
         cached.unpersist()
 
 
+def fit_counted(pipeline: Pipeline, train: DataFrame) -> tuple[PipelineModel, int]:
+    """:func:`fit`, also returning the number of training rows, observed on
+    the fit's first pass (no separate count over the source)."""
+    seen = Observation("training_rows")
+    model = fit(pipeline, train.observe(seen, F.count(F.lit(1)).alias("n")))
+    return model, int(seen.get["n"])
+
+
 def for_scoring(model: PipelineModel, unseen: str = "keep") -> PipelineModel:
     """Let the fitted label indexer accept sources unseen at training time
     (they get index = number of known labels) instead of failing the whole
@@ -149,6 +157,13 @@ def read_metadata(spark: SparkSession, path: str, multiline: bool = False) -> Da
     return spark.read.schema(METADATA_SCHEMA).option("multiLine", multiline).json(path)
 
 
+def metadata_document(spark: SparkSession, features: Sequence[str], n_rows: int,
+                      split_used: str = "None") -> DataFrame:
+    """ML-9 from an already known row count: a one-row document."""
+    return spark.createDataFrame(
+        [(list(features), split_used, int(n_rows), None)], METADATA_SCHEMA)
+
+
 def training_metadata(train: DataFrame, features: Sequence[str],
                       split_used: str = "None") -> DataFrame:
     """ML-9: one row — feature names, split used, training row count, grid

@@ -85,9 +85,9 @@ def train_job(spark: SparkSession, flat_path: str, model_store: str, day: str,
     if train_pct is not None:
         rows = hash_split(rows, [BATCH_COL, SOURCE_COL], train_pct).where(F.col("split") == "train")
         split_text = f"hash(date,city) {train_pct}/{100 - train_pct}"
-    model = ml.fit(ml.build_stages(features, seed=seed), rows)
+    model, n_rows = ml.fit_counted(ml.build_stages(features, seed=seed), rows)
     path = ml.save_model(model, model_store, day)
-    meta = ml.training_metadata(rows, features, split_text)
+    meta = ml.metadata_document(spark, features, n_rows, split_text)
     write_documents(meta.coalesce(1), f"{model_store.rstrip('/')}/date={day}/custom_model_metadata",
                     mode="overwrite")
     return path
