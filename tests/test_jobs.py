@@ -71,3 +71,18 @@ def test_load_named_batches_only(spark, lake, tmpdir_path):
     assert spark.read.parquet(quar).count() == 1
     assert {x.date for x in spark.read.parquet(flat).select("date").collect()} == {
         "2025-09-09_0100", "2025-09-09_0200"}
+
+
+def test_cli_load_train_score(spark, lake, tmpdir_path, capsys):
+    from obslake.__main__ import main
+    _fill(lake, range(0, 6))
+    flat, models, reports = (os.path.join(tmpdir_path, n) for n in ("flat", "models", "reports"))
+    main(["load", "--lake", lake.root, "--target", flat])
+    assert "inserted 18" in capsys.readouterr().out
+    main(["train", "--flat", flat, "--models", models, "--day", "2025-09-09"])
+    assert capsys.readouterr().out.strip().endswith("date=2025-09-09/model")
+    main(["score", "--lake", lake.root, "--models", models, "--batch", "2025-09-09_0500",
+          "--reports", reports])
+    from obslake.modeling.report import read_reports
+    r = read_reports(spark, reports).collect()
+    assert [x.datetime for x in r] == ["2025-09-09_0500"]
