@@ -86,3 +86,16 @@ def test_cli_load_train_score(spark, lake, tmpdir_path, capsys):
     from obslake.modeling.report import read_reports
     r = read_reports(spark, reports).collect()
     assert [x.datetime for x in r] == ["2025-09-09_0500"]
+
+
+def test_train_with_hash_split_records_split(spark, lake, tmpdir_path):
+    from obslake.operators.split import hash_split
+    _fill(lake, range(0, 10))
+    flat, models = os.path.join(tmpdir_path, "flat"), os.path.join(tmpdir_path, "models")
+    jobs.load_job(spark, lake.root, flat)
+    jobs.train_job(spark, flat, models, "2025-09-10", train_pct=70)
+    meta = spark.read.json(os.path.join(models, "date=2025-09-10", "custom_model_metadata")).first()
+    rows = jobs.training_rows(spark.read.parquet(flat), expected=3)
+    n_train = hash_split(rows, ["date", "city"], 70).where("split = 'train'").count()
+    assert meta.training_split_used == "hash(date,city) 70/30"
+    assert meta.training_entries_count == n_train and 0 < n_train < 30
