@@ -15,8 +15,9 @@ def score_report(scored: DataFrame, model_location: str,
                  order_col: str = "file_path", positive_label: float = 0.0,
                  model_type: str = "PipelineModel") -> DataFrame:
     """One report row per batch: accuracy, precision of ``positive_label``
-    (Spark evaluator's default label 0.0; 0.0 when never predicted), and per
-    source its label index and the model's guess.
+    (Spark evaluator's default label 0.0; 0.0 when never predicted), the
+    precision of every label seen in the batch (``precision_by_label``, keyed
+    by label index), and per source its label index and the model's guess.
 
     Two aggregates replace the evaluator jobs and one filter+first() job per
     source: per (batch, source) the first row by ``order_col`` plus hit
@@ -39,7 +40,22 @@ def score_report(scored: DataFrame, model_location: str,
         sorted_map(source_col, F.col("_first.i")).alias("city_indexes"),
         sorted_map(source_col, F.col("_first.p")).alias("city_guesses"),
     )
-    return per_batch.select(
+    # Precision of every label seen in the batch (as label or prediction):
+    # each row counts once for its label (0 predicted) and once for its
+    # prediction (1 predicted, hit or not); one partial aggregate, then a map
+    # bounded by the number of labels.
+    votes = scored.select(batch_col, F.explode(F.array(
+        F.struct(lab.alias("v"), F.lit(0).alias("p"), F.lit(0).alias("t")),
+        F.struct(pred.alias("v"), F.lit(1).alias("p"), (pred == lab).cast("int").alias("t")),
+    )).alias("e"))
+    per_label = votes.groupBy(batch_col, F.col("e.v").alias("_v")).agg(
+        F.sum("e.p").alias("_predicted"), F.sum("e.t").alias("_tp"))
+    per_label = per_label.select(batch_col, F.col("_v").cast("int").cast("string").alias("_k"),
+                                 F.when(F.col("_predicted") == 0, F.lit(0.0))
+                                  .otherwise(F.col("_tp") / F.col("_predicted")).alias("_prec"))
+    by_label = per_label.groupBy(batch_col).agg(
+        sorted_map("_k", "_prec").alias("precision_by_label"))
+    return per_batch.join(by_label, batch_col).select(
         F.lit(model_type).alias("model_type"),
         F.lit(model_location).alias("model_location"),
         F.col(batch_col).alias("datetime"),
@@ -47,13 +63,14 @@ def score_report(scored: DataFrame, model_location: str,
         pct_text(F.col("_precision")).alias("precision"),
         "city_indexes",
         "city_guesses",
+        "precision_by_label",
         F.col(batch_col),
     )
 
 
 REPORT_SCHEMA = ("model_type string, model_location string, datetime string, accuracy string, "
                  "precision string, city_indexes map<string,double>, "
-                 "city_guesses map<string,double>")
+                 "city_guesses map<string,double>, precision_by_label map<string,double>")
 
 
 def read_reports(spark, root: str, multiline: bool = False):

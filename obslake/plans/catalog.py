@@ -267,7 +267,8 @@ def q_precision_by_label(spark, sf_dir):
 def _report_text(rep: DataFrame) -> DataFrame:
     return rep.select("datetime", "model_type", "model_location", "accuracy", "precision",
                       map_text("city_indexes").alias("city_indexes"),
-                      map_text("city_guesses").alias("city_guesses"))
+                      map_text("city_guesses").alias("city_guesses"),
+                      map_text("precision_by_label", "%.4f").alias("precision_by_label"))
 
 
 def q_batch_report(spark, sf_dir):

@@ -165,8 +165,20 @@ LEFT JOIN (
     ELSE CAST(sum(CASE WHEN prediction = 0 AND city_index = 0 THEN 1 ELSE 0 END) AS DOUBLE)
          / sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END) END * 100) AS precision,
   string_agg(city || '=' || printf('%.1f', city_index), ',' ORDER BY city) AS city_indexes,
-  string_agg(city || '=' || printf('%.1f', prediction), ',' ORDER BY city) AS city_guesses
-FROM scored GROUP BY date""",
+  string_agg(city || '=' || printf('%.1f', prediction), ',' ORDER BY city) AS city_guesses,
+  any_value(pl.precision_by_label) AS precision_by_label
+FROM scored JOIN (
+  SELECT date, string_agg(k || '=' || printf('%.4f', prec), ',' ORDER BY k) AS precision_by_label
+  FROM (
+    SELECT date, CAST(CAST(v AS INTEGER) AS VARCHAR) AS k,
+           CASE WHEN sum(p) = 0 THEN 0.0 ELSE sum(t)::DOUBLE / sum(p) END AS prec
+    FROM (SELECT date, city_index AS v, 0 AS p, 0 AS t FROM scored
+          UNION ALL
+          SELECT date, prediction AS v, 1 AS p, CASE WHEN prediction = city_index THEN 1 ELSE 0 END
+          FROM scored)
+    GROUP BY date, v)
+  GROUP BY date) pl USING (date)
+GROUP BY date""",
     "model_roundtrip": "SELECT CAST(0 AS BIGINT) AS n_diff",
     "model_metadata": _with(EV, OBS, CLEAN) + (
         "SELECT 'value,k,user_id,interval' AS input_columns, 'None' AS training_split_used, "

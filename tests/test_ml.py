@@ -110,6 +110,8 @@ def test_report_three_rows(spark):
     assert r.accuracy == "33.33%" and r.precision == "0.00%"
     assert r.city_indexes == {"havana": 0.0, "miami": 1.0, "nassau": 2.0}
     assert r.city_guesses == {"havana": 2.0, "miami": 1.0, "nassau": 1.0}
+    # Label 0 never predicted -> 0.0; label 1 predicted twice, right once.
+    assert r.precision_by_label == {"0": 0.0, "1": 0.5, "2": 0.0}
 
 
 def test_models_without_registry_are_discovered(spark, training, tmpdir_path):

@@ -89,6 +89,14 @@ def test_tree_report_equals_brute_force(spark):
         pred0 = g[g.prediction == 0.0]
         prec = 0.0 if len(pred0) == 0 else (pred0.city_index == 0.0).mean() * 100
         assert r.accuracy == f"{acc:.2f}%" and r.precision == f"{prec:.2f}%"
+        labels = set(g.city_index) | set(g.prediction)
+        want = {}
+        for lab in labels:
+            pr = g[g.prediction == lab]
+            want[str(int(lab))] = 0.0 if len(pr) == 0 else float((pr.city_index == lab).mean())
+        assert r.precision_by_label.keys() == want.keys()
+        for k, v in want.items():
+            assert r.precision_by_label[k] == pytest.approx(v, abs=1e-12)
         first = g.sort_values("event_id").groupby("city").first()
         assert r.city_indexes == first["city_index"].to_dict()
         assert r.city_guesses == first["prediction"].to_dict()
