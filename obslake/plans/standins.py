@@ -87,16 +87,16 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_lake(spark: SparkSession, sf_dir: str) -> str:
+def event_lake(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
     """Land the events as a document lake (SNK-3) once per input directory
     in the shared scratch folder; later calls reuse it (``_SUCCESS`` marks a
-    finished write)."""
+    finished write).  ``fresh`` lands it again even when it exists."""
     # Keyed by input folder and document format, so a format change never
     # reuses a lake landed by older code.
     fmt = EVENT_DOC.json() + LAKE_TIME_FORMAT
     tag = hashlib.sha1((sf_dir.rstrip("/") + "|" + fmt).encode()).hexdigest()[:12]
     root = scratch_path(spark, "lakes", f"events-{tag}")
-    if not path_exists(spark, f"{root}/_SUCCESS"):
+    if fresh or not path_exists(spark, f"{root}/_SUCCESS"):
         land_documents(event_documents(spark, sf_dir), root, mode="overwrite")
     return root
 
