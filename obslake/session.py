@@ -56,8 +56,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the cluster names none (a test on one
-    machine) is a local folder created and registered.
+    Read from the session.  Only a ``local[...]`` session (a test on one
+    machine) may fall back to a local folder; on a cluster executors could
+    not see one, so a missing setting is an error there.
     """
     global _LOCAL_SCRATCH
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -66,6 +67,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach "
+                         "(HDFS or an object store); scratch tables, models, reports and "
+                         "streaming checkpoints are written below it")
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="obslake-ckpt-")
         spark.sparkContext.setCheckpointDir(_LOCAL_SCRATCH)

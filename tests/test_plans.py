@@ -49,3 +49,37 @@ def test_filter_pushed_to_parquet(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     plan = _plan(ev.where(F.col("event_type") == "view").select("event_id"))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
+
+
+class _Conf:
+    def __init__(self, d):
+        self.d = d
+
+    def get(self, k, default=None):
+        return self.d.get(k, default)
+
+
+class _Ctx:
+    def __init__(self, master, conf):
+        self.master, self._conf = master, _Conf(conf)
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _Session:
+    def __init__(self, master, conf=None):
+        self.sparkContext = _Ctx(master, conf or {})
+
+
+def test_scratch_is_the_shared_checkpoint_dir_and_never_local_on_a_cluster():
+    import pytest
+    from obslake.session import checkpoint_root, scratch_path
+    shared = _Session("yarn", {"spark.checkpoint.dir": "hdfs://nn/ckpt/"})
+    assert checkpoint_root(shared) == "hdfs://nn/ckpt"
+    assert scratch_path(shared, "tables", "t") == "hdfs://nn/ckpt/obslake/tables/t"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session("spark://master:7077"))
