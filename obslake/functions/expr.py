@@ -66,13 +66,15 @@ def json_text(*cols: str) -> Column:
     return F.to_json(F.struct(*cols))
 
 
-def sorted_map(key, value) -> Column:
+def sorted_map(key, value, where: Column | None = None) -> Column:
     """SCL-9 (aggregate): key -> value map built inside a groupBy, entries
-    sorted by key.  Meant for groups bounded by the number of keys (one row
-    per source in a batch), never for raw rows."""
-    return F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct(_c(key).alias("k"), _c(value).alias("v"))))
-    )
+    sorted by key; only rows meeting ``where`` when given.  Meant for groups
+    bounded by the number of keys (one row per source in a batch), never for
+    raw rows."""
+    entry = F.struct(_c(key).alias("k"), _c(value).alias("v"))
+    if where is not None:
+        entry = F.when(where, entry)
+    return F.map_from_entries(F.array_sort(F.collect_list(entry)))
 
 
 def map_text(m, value_fmt: str = "%.1f") -> Column:

@@ -1,4 +1,4 @@
-"""ML-8 / ML-10: per-batch score reports in one aggregation."""
+"""ML-8 / ML-10: per-batch score reports from one pass over the scored rows."""
 
 from __future__ import annotations
 
@@ -17,45 +17,65 @@ def score_report(scored: DataFrame, model_location: str,
     """One report row per batch: accuracy, precision of ``positive_label``
     (Spark evaluator's default label 0.0; 0.0 when never predicted), the
     precision of every label seen in the batch (``precision_by_label``, keyed
-    by label index), and per source its label index and the model's guess.
+    by label index), and per source its label index and the model's guess
+    (those of the source's first row by ``order_col``).
 
-    Two aggregates replace the evaluator jobs and one filter+first() job per
-    source: per (batch, source) the first row by ``order_col`` plus hit
-    counts, then per batch the sums and the source->value maps.  Both combine
-    map-side; the second sees at most one row per (batch, source), so the
-    maps are bounded by the number of sources."""
+    The scored rows are read once, by one chain of partial aggregates with
+    no branch (a branch would scan the source and run the model twice):
+
+    1. counts per (batch, source, label, prediction) with the smallest
+       ``order_col`` of each: bounded by batches x sources x labels^2;
+    2. each count row becomes one entry for its source and one for its label
+       and for its prediction (precision votes), summed per
+       (batch, kind, key);
+    3. one row per batch: sums, and maps built from at most
+       sources + labels entries.
+
+    This replaces the evaluator jobs and one filter+first() job per source."""
     pred, lab = F.col(prediction_col), F.col(label_col)
     pos = F.lit(positive_label)
-    per_source = scored.groupBy(batch_col, source_col).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum((pred == lab).cast("long")).alias("_hits"),
-        F.sum(((pred == pos) & (lab == pos)).cast("long")).alias("_tp"),
-        F.sum((pred == pos).cast("long")).alias("_predicted"),
-        F.min_by(F.struct(lab.alias("i"), pred.alias("p")), F.col(order_col)).alias("_first"),
-    )
-    per_batch = per_source.groupBy(batch_col).agg(
-        (F.sum("_hits") / F.sum("_rows")).alias("_accuracy"),
-        F.when(F.sum("_predicted") == 0, F.lit(0.0))
-         .otherwise(F.sum("_tp") / F.sum("_predicted")).alias("_precision"),
-        sorted_map(source_col, F.col("_first.i")).alias("city_indexes"),
-        sorted_map(source_col, F.col("_first.p")).alias("city_guesses"),
+    counts = scored.groupBy(batch_col, source_col, lab.alias("_lab"), pred.alias("_pred")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first_order"))
+    lab, pred, n = F.col("_lab"), F.col("_pred"), F.col("_n")
+    zero = F.lit(0).cast("long")
+    hit = F.when(pred == lab, n).otherwise(zero)
+    # Smallest order first (a null order never wins), then label, guess.
+    first = F.struct(F.col("_first_order").isNull().alias("o_null"),
+                     F.col("_first_order").alias("o"), lab.alias("i"), pred.alias("p"))
+    no_first = F.lit(None).cast(counts.select(first.alias("f")).schema["f"].dataType)
+
+    def entry(kind, key, rows, hits, tp, predicted, first_row, votes, vote_hits):
+        return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"),
+                        rows.alias("rows"), hits.alias("hits"), tp.alias("tp"),
+                        predicted.alias("predicted"), first_row.alias("first"),
+                        votes.alias("votes"), vote_hits.alias("vote_hits"))
+
+    label_key = lambda c: c.cast("int").cast("string")
+    entries = counts.select(batch_col, F.explode(F.array(
+        entry("source", F.col(source_col), n, hit,
+              F.when((pred == pos) & (lab == pos), n).otherwise(zero),
+              F.when(pred == pos, n).otherwise(zero), first, zero, zero),
+        # Each row votes once for its label (0 predicted) and once for its
+        # prediction (n predicted, n hits when prediction == label).
+        entry("label", label_key(lab), zero, zero, zero, zero, no_first, zero, zero),
+        entry("label", label_key(pred), zero, zero, zero, zero, no_first, n, hit),
+    )).alias("e")).select(batch_col, "e.*")
+    per_key = entries.groupBy(batch_col, "kind", "key").agg(
+        F.sum("rows").alias("rows"), F.sum("hits").alias("hits"), F.sum("tp").alias("tp"),
+        F.sum("predicted").alias("predicted"), F.min("first").alias("first"),
+        F.sum("votes").alias("votes"), F.sum("vote_hits").alias("vote_hits"))
+    is_source, is_label = F.col("kind") == "source", F.col("kind") == "label"
+    per_batch = per_key.groupBy(batch_col).agg(
+        (F.sum("hits") / F.sum("rows")).alias("_accuracy"),
+        F.when(F.sum("predicted") == 0, F.lit(0.0))
+         .otherwise(F.sum("tp") / F.sum("predicted")).alias("_precision"),
+        sorted_map("key", F.col("first.i"), where=is_source).alias("city_indexes"),
+        sorted_map("key", F.col("first.p"), where=is_source).alias("city_guesses"),
+        sorted_map("key", F.when(F.col("votes") == 0, F.lit(0.0))
+                           .otherwise(F.col("vote_hits") / F.col("votes")),
+                   where=is_label).alias("precision_by_label"),
     )
-    # Precision of every label seen in the batch (as label or prediction):
-    # each row counts once for its label (0 predicted) and once for its
-    # prediction (1 predicted, hit or not); one partial aggregate, then a map
-    # bounded by the number of labels.
-    votes = scored.select(batch_col, F.explode(F.array(
-        F.struct(lab.alias("v"), F.lit(0).alias("p"), F.lit(0).alias("t")),
-        F.struct(pred.alias("v"), F.lit(1).alias("p"), (pred == lab).cast("int").alias("t")),
-    )).alias("e"))
-    per_label = votes.groupBy(batch_col, F.col("e.v").alias("_v")).agg(
-        F.sum("e.p").alias("_predicted"), F.sum("e.t").alias("_tp"))
-    per_label = per_label.select(batch_col, F.col("_v").cast("int").cast("string").alias("_k"),
-                                 F.when(F.col("_predicted") == 0, F.lit(0.0))
-                                  .otherwise(F.col("_tp") / F.col("_predicted")).alias("_prec"))
-    by_label = per_label.groupBy(batch_col).agg(
-        sorted_map("_k", "_prec").alias("precision_by_label"))
-    return per_batch.join(by_label, batch_col).select(
+    return per_batch.select(
         F.lit(model_type).alias("model_type"),
         F.lit(model_location).alias("model_location"),
         F.col(batch_col).alias("datetime"),

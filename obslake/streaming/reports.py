@@ -46,7 +46,7 @@ def start_report_stream(model: PipelineModel, readings: DataFrame, scored_path:
        the scored table (pruned to their days) and keep those with all
        ``expected`` sources;
     3. append a report for each such batch not reported before (anti-join on
-       the batch key against the report table).
+       the batch key against the reports of the touched days).
 
     Every step is a partial aggregate or a semi/anti-join on batch keys; no
     state is kept in the stream itself, so restarts and replays are safe."""
@@ -66,7 +66,14 @@ def start_report_stream(model: PipelineModel, readings: DataFrame, scored_path:
                                    model_location, order_by[0])
             reports = reports.withColumn(PARTITION_COL, day_of_batch(BATCH_COL))
             if path_exists(spark, report_path):
-                done = spark.read.schema(f"{BATCH_COL} string").json(report_path)
+                # Only the report days this micro-batch touched are read (a
+                # semi-join on the partition column, pruned dynamically), so
+                # the check does not grow with the report history.
+                done = (spark.read.schema(f"{BATCH_COL} string, {PARTITION_COL} date")
+                        .json(report_path)
+                        .join(touched.select(PARTITION_COL).distinct(), PARTITION_COL,
+                              "left_semi")
+                        .select(BATCH_COL))
                 reports = reports.join(done, BATCH_COL, "left_anti")
             write_documents(reports, report_path, partition_col=PARTITION_COL)
         finally:
