@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,13 @@ def insert_if_absent(batch: DataFrame, target_path: str,
     if partition_expr is not None:
         rows = rows.withColumn(partition_col, partition_expr)
     existing = read_table_or_none(spark, target_path)
+    cached = None
     if existing is not None:
+        # The touched days, the pruned target keys and the anti-join all
+        # read the deduplicated rows.  Persisted (memory, spilling to disk)
+        # for this write only, so the batch is scanned and deduplicated once;
+        # otherwise the touched days alone would re-read the whole batch.
+        rows = cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
         touched = rows.select(partition_col).distinct()
         existing_keys = (existing.select(partition_col, *keys)
                          .join(touched, partition_col, "left_semi"))
@@ -61,11 +68,15 @@ def insert_if_absent(batch: DataFrame, target_path: str,
     cols = list(dict.fromkeys([*batch.columns, partition_col]))
     seen = Observation("insert_if_absent")
     out = rows.select(*cols).observe(seen, F.count(F.lit(1)).alias("inserted"))
-    # Cluster by the partition column so each directory gets few files (a
-    # plain write opens one file per task per directory); AQE splits a
-    # partition value that holds a large share of the rows.
-    (out.hint("rebalance", partition_col)
-        .write.mode("append").partitionBy(partition_col).parquet(target_path))
+    try:
+        # Cluster by the partition column so each directory gets few files (a
+        # plain write opens one file per task per directory); AQE splits a
+        # partition value that holds a large share of the rows.
+        (out.hint("rebalance", partition_col)
+            .write.mode("append").partitionBy(partition_col).parquet(target_path))
+    finally:
+        if cached is not None:
+            cached.unpersist()
     try:
         return int(seen.get["inserted"])
     except Py4JJavaError:
