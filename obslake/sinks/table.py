@@ -34,7 +34,8 @@ def insert_if_absent(batch: DataFrame, target_path: str,
        map-side instead of landing in one task);
     2. rows with a null key are never inserted (they belong to quarantine);
     3. anti-join against the keys already in the target, reading only the key
-       columns of the target partitions this batch touches;
+       columns of the target partitions this batch touches (partition
+       pruning by the batch's days);
     4. append, partitioned by ``partition_col`` (by default the day of the
        batch key, computed by ``partition_expr``).
 
@@ -56,14 +57,16 @@ def insert_if_absent(batch: DataFrame, target_path: str,
     existing = read_table_or_none(spark, target_path)
     cached = None
     if existing is not None:
-        # The touched days, the pruned target keys and the anti-join all
-        # read the deduplicated rows.  Persisted (memory, spilling to disk)
-        # for this write only, so the batch is scanned and deduplicated once;
-        # otherwise the touched days alone would re-read the whole batch.
+        # The touched days and the anti-join both read the deduplicated rows:
+        # persisted (memory, spilling to disk) for this write only, so the
+        # batch is scanned and deduplicated once.  The touched days are one
+        # value per day the batch spans (bounded by its time range, not its
+        # rows); as a literal IN list they prune the target's partitions in
+        # the plan, so only the key columns of those days are read.
         rows = cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        touched = rows.select(partition_col).distinct()
-        existing_keys = (existing.select(partition_col, *keys)
-                         .join(touched, partition_col, "left_semi"))
+        days = [r[0] for r in rows.select(partition_col).distinct().collect()]
+        existing_keys = (existing.where(F.col(partition_col).isin(days))
+                         .select(partition_col, *keys))
         rows = rows.join(existing_keys, [partition_col, *keys], "left_anti")
     cols = list(dict.fromkeys([*batch.columns, partition_col]))
     seen = Observation("insert_if_absent")

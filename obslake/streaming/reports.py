@@ -43,8 +43,8 @@ def start_report_stream(model: PipelineModel, readings: DataFrame, scored_path:
     1. score the new readings and insert them into ``scored_path`` once per
        (batch, source) (first wins, replay-safe);
     2. for the batches this micro-batch touched, read their rows back from
-       the scored table (pruned to their days) and keep those with all
-       ``expected`` sources;
+       the scored table (partition-pruned to their days) and keep those with
+       all ``expected`` sources;
     3. append a report for each such batch not reported before (anti-join on
        the batch key against the reports of the touched days).
 
@@ -62,17 +62,18 @@ def start_report_stream(model: PipelineModel, readings: DataFrame, scored_path:
             spark = batch.sparkSession
             touched = batch.select(BATCH_COL).distinct() \
                 .withColumn(PARTITION_COL, day_of_batch(BATCH_COL))
-            reports = _new_reports(spark.read.parquet(scored_path), touched, expected,
-                                   model_location, order_by[0])
+            # The days this micro-batch touched: one value per day it spans.
+            # As a literal IN list they prune the scored table and the
+            # reports to those days' partitions, so a micro-batch never reads
+            # the whole history.
+            days = [r[0] for r in touched.select(PARTITION_COL).distinct().collect()]
+            scored_days = spark.read.parquet(scored_path).where(F.col(PARTITION_COL).isin(days))
+            reports = _new_reports(scored_days, touched, expected, model_location, order_by[0])
             reports = reports.withColumn(PARTITION_COL, day_of_batch(BATCH_COL))
             if path_exists(spark, report_path):
-                # Only the report days this micro-batch touched are read (a
-                # semi-join on the partition column, pruned dynamically), so
-                # the check does not grow with the report history.
                 done = (spark.read.schema(f"{BATCH_COL} string, {PARTITION_COL} date")
                         .json(report_path)
-                        .join(touched.select(PARTITION_COL).distinct(), PARTITION_COL,
-                              "left_semi")
+                        .where(F.col(PARTITION_COL).isin(days))
                         .select(BATCH_COL))
                 reports = reports.join(done, BATCH_COL, "left_anti")
             write_documents(reports, report_path, partition_col=PARTITION_COL)
