@@ -51,6 +51,22 @@ def test_filter_pushed_to_parquet(spark):
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in plan
 
 
+def test_score_report_reads_scored_rows_once(spark):
+    """Every report figure comes from one chain over the scored rows: one
+    scan of the source (a branched plan would scan it, and run the model,
+    twice)."""
+    from obslake.modeling.report import score_report
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    scored = ev.select(F.date_format("ts", "yyyy-MM-dd").alias("date"),
+                       F.col("event_type").alias("city"), "event_id",
+                       (F.col("user_id") % 3).cast("double").alias("city_index"),
+                       (F.col("event_id") % 3).cast("double").alias("prediction"))
+    rep = score_report(scored, "m", order_col="event_id")
+    initial = rep._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert initial.count("FileScan parquet") == 1
+    assert rep.count() == scored.select("date").distinct().count()
+
+
 class _Conf:
     def __init__(self, d):
         self.d = d
