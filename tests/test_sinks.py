@@ -68,3 +68,28 @@ def test_documents_partitioned(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "docs")
     write_documents(df, out, partition_col="day")
     assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == ["_SUCCESS", "day=a", "day=b"]
+
+
+def test_insert_across_days_keeps_untouched_days_and_skips_known_keys(spark, tmpdir_path):
+    """The target is read only for the days a batch touches; keys there are
+    skipped, other days are left as they are, an empty batch inserts 0."""
+    cols = "date string, city string, time string, v double"
+    target = os.path.join(tmpdir_path, "flat")
+    first = spark.createDataFrame(
+        [("2025-09-01_0000", "miami", "t1", 1.0), ("2025-09-02_0000", "miami", "t1", 2.0),
+         ("2025-09-03_0000", "miami", "t1", 3.0)], cols)
+    assert insert_if_absent(first, target, order_by=("time",)) == 3
+    batch = spark.createDataFrame(
+        [("2025-09-02_0000", "miami", "t0", 20.0),     # known key: skipped (first wins)
+         ("2025-09-02_0000", "nassau", "t1", 21.0),    # new key on a known day
+         ("2025-09-04_0000", "miami", "t1", 40.0),     # new day
+         ("2025-09-04_0000", "miami", "t2", 41.0)],    # same key, later: deduplicated
+        cols)
+    assert insert_if_absent(batch, target, order_by=("time",)) == 2
+    got = sorted((r.date, r.city, r.v) for r in spark.read.parquet(target).collect())
+    assert got == [("2025-09-01_0000", "miami", 1.0), ("2025-09-02_0000", "miami", 2.0),
+                   ("2025-09-02_0000", "nassau", 21.0), ("2025-09-03_0000", "miami", 3.0),
+                   ("2025-09-04_0000", "miami", 40.0)]
+    assert insert_if_absent(batch.limit(0), target, order_by=("time",)) == 0
+    assert insert_if_absent(batch, target, order_by=("time",)) == 0
+    assert spark.read.parquet(target).count() == 5
