@@ -26,15 +26,18 @@ def start_load_stream(readings: DataFrame, target_path: str, checkpoint: str,
     service would use ``{"processingTime": "3 minutes"}``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The insert reads the micro-batch twice (rows, and the touched
-        # partitions that prune the target scan): persist it once.
-        batch.persist()
+        # The insert persists its own deduplicated rows, so it reads the
+        # micro-batch once; the micro-batch itself is kept only when a
+        # callback reads it again.
+        if on_batch is not None:
+            batch.persist()
         try:
             n = insert_if_absent(batch, target_path, keys, order_by)
             if on_batch is not None:
                 on_batch(batch, batch_id, n)
         finally:
-            batch.unpersist()
+            if on_batch is not None:
+                batch.unpersist()
 
     return (readings.writeStream
             .foreachBatch(write)
