@@ -37,17 +37,24 @@ def accuracy(df: DataFrame, label: str, prediction: str,
 def precision_by_label(df: DataFrame, label: str, prediction: str,
                        alias: str = "precision") -> DataFrame:
     """AGG-10: TP / (TP + FP) for every label seen as label or prediction;
-    0.0 for a label that is never predicted (as Spark's evaluator)."""
+    0.0 for a label that is never predicted (as Spark's evaluator).
+
+    One chain over ``df`` (one scan): the confusion counts, then each count
+    votes once for its label (0 predicted) and once for its prediction
+    (n predicted, n hits when prediction == label), summed per label."""
     conf = confusion(df, label, prediction, "_n")
-    per_pred = conf.groupBy(F.col(prediction).alias("_label")).agg(
-        F.sum("_n").alias("_predicted"),
-        F.sum(F.when(F.col(label) == F.col(prediction), F.col("_n")).otherwise(0)).alias("_tp"))
-    labels = (conf.select(F.col(label).alias("_label"))
-              .union(conf.select(F.col(prediction).alias("_label"))).distinct())
-    out = labels.join(per_pred, "_label", "left")
-    return out.select(
-        F.col("_label").alias(label),
-        F.coalesce(F.col("_tp") / F.col("_predicted"), F.lit(0.0)).alias(alias))
+    lab, pred, n = F.col(label), F.col(prediction), F.col("_n")
+    zero = F.lit(0).cast("long")
+    votes = conf.select(F.explode(F.array(
+        F.struct(lab.alias("v"), zero.alias("p"), zero.alias("t")),
+        F.struct(pred.alias("v"), n.alias("p"), F.when(pred == lab, n).otherwise(zero).alias("t")),
+    )).alias("e"))
+    per_label = votes.groupBy(F.col("e.v").alias(label)).agg(
+        F.sum("e.p").alias("_predicted"), F.sum("e.t").alias("_tp"))
+    return per_label.select(
+        label,
+        F.when(F.col("_predicted") == 0, F.lit(0.0))
+         .otherwise(F.col("_tp") / F.col("_predicted")).alias(alias))
 
 
 def label_precision(df: DataFrame, label: str, prediction: str, positive: float = 0.0):

@@ -67,6 +67,17 @@ def test_score_report_reads_scored_rows_once(spark):
     assert rep.count() == scored.select("date").distinct().count()
 
 
+def test_precision_by_label_scans_once(spark):
+    from obslake.operators import metrics
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    scored = li.select((F.col("l_linenumber") % 3).cast("double").alias("y"),
+                       (F.col("l_orderkey") % 4).cast("double").alias("p"))
+    df = metrics.precision_by_label(scored, "y", "p")
+    initial = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert initial.count("FileScan parquet") == 1
+    assert {r.y for r in df.collect()} == {0.0, 1.0, 2.0, 3.0}
+
+
 class _Conf:
     def __init__(self, d):
         self.d = d
