@@ -49,6 +49,12 @@ def start_load_stream(readings: DataFrame, target_path: str, checkpoint: str,
 def dedupe_stream(readings: DataFrame, event_time: str, delay: str = "2 hours",
                   keys: Sequence[str] = tuple(KEY_COLUMNS)) -> DataFrame:
     """STR-4: drop repeats of a key seen within the watermark delay.  State
-    holds one entry per live key and is evicted as the watermark passes."""
+    holds one entry per live key and is evicted as the watermark passes.
+
+    Spark's streaming dedupe has no map-side step: every row of a key in a
+    micro-batch is shuffled to that key's task, which streams them past one
+    state entry (nothing is buffered).  Where one key may carry a large share
+    of the rows, load through :func:`start_load_stream`, whose first-wins
+    aggregate combines each key map-side before the shuffle."""
     return (readings.withWatermark(event_time, delay)
             .dropDuplicatesWithinWatermark(list(keys)))
