@@ -48,6 +48,7 @@ def main() -> None:
              .config("spark.sql.shuffle.partitions", "16").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from obslake.operators import quality
+    from obslake.modeling.report import score_report
     from obslake.operators.dedupe import first_wins
     from obslake.plans import standins as si
     from obslake.sinks.table import insert_if_absent
@@ -61,12 +62,20 @@ def main() -> None:
         "keep_complete": lambda: quality.keep_complete(
             first_wins(skewed, ["date", "city"], si.EVENT_ORDER), 5),
         "batch_sizes_strict": lambda: quality.batch_sizes(skewed, strict=True),
+        # Grading with the hot batch: a rule stands in for the model.
+        "score_report": lambda: score_report(
+            skewed.withColumn("city_index", (F.abs(F.xxhash64("city")) % 5).cast("double"))
+                  .withColumn("prediction", si.value_band_prediction()),
+            "probe", order_col="event_id"),
     }
     for name, make in steps.items():
         spark.sparkContext.setJobDescription(name)
         make().write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription("insert_if_absent")
     insert_if_absent(skewed, f"{base}/flat", order_by=si.EVENT_ORDER)
+    # Replay into the now existing table: touched days, pruned anti-join.
+    spark.sparkContext.setJobDescription("insert_replay")
+    insert_if_absent(skewed, f"{base}/flat", order_by=si.EVENT_ORDER)
     spark.stop()
 
     stage_job, tasks = {}, collections.defaultdict(list)
