@@ -100,3 +100,21 @@ def test_tree_report_equals_brute_force(spark):
         first = g.sort_values("event_id").groupby("city").first()
         assert r.city_indexes == first["city_index"].to_dict()
         assert r.city_guesses == first["prediction"].to_dict()
+
+
+LABELED = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3)), min_size=0, max_size=30)
+
+
+@SET
+@given(LABELED)
+def test_precision_by_label_equals_brute_force(spark, pairs):
+    from obslake.operators import metrics
+    df = spark.createDataFrame([(float(y), float(p)) for y, p in pairs], "y double, p double")
+    got = {r.y: r.precision for r in metrics.precision_by_label(df, "y", "p").collect()}
+    want = {}
+    for v in {y for y, _ in pairs} | {p for _, p in pairs}:
+        predicted = [y for y, p in pairs if p == v]
+        want[float(v)] = (sum(1 for y in predicted if y == v) / len(predicted)) if predicted else 0.0
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-12)
