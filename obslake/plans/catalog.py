@@ -386,6 +386,20 @@ def q_stream_dedupe(spark, sf_dir):
     return spark.read.schema("date string, city string").parquet(out)
 
 
+def q_stream_first_wins(spark, sf_dir):
+    """STR-4 exact form: first reading per (batch, source) by (ts, event_id),
+    emitted once per key when its hour closes under the watermark."""
+    from obslake.streaming.ingest import first_wins_stream
+    out = scratch_path(spark, "tables", "stream_first_wins", unique=True)
+    ckpt = scratch_path(spark, "checkpoints", "stream_first_wins", unique=True)
+    r = _event_stream(spark, sf_dir).select("date", "city", "ts", "event_id", "value")
+    q = (first_wins_stream(r, "ts", si.EVENT_ORDER).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*OBS_COLS)
+
+
 def q_stream_score(spark, sf_dir):
     from obslake.streaming.score import start_score_stream
     model = ml.fit(ml.build_stages(si.EVENT_FEATURES, seed=42), _clean_event_training(spark, sf_dir))
@@ -482,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_job": q_score_job,
     "stream_ingest": q_stream_ingest,
     "stream_dedupe": q_stream_dedupe,
+    "stream_first_wins": q_stream_first_wins,
     "stream_score": q_stream_score,
     "stream_completeness": q_stream_completeness,
     "stream_reports": q_stream_reports,

@@ -206,6 +206,12 @@ FROM clean JOIN idx USING (city) GROUP BY date""",
         f"SELECT {OBS_COLS} FROM obs WHERE city = 'error'"),
     "stream_ingest": _with(EV, OBS) + f"SELECT {OBS_COLS} FROM obs",
     "stream_dedupe": _with(EV) + "SELECT DISTINCT date, city FROM ev",
+    # Emitted keys: hours whose end is at or before the final watermark
+    # (latest event time, in milliseconds, minus the 2-hour delay).
+    "stream_first_wins": _with(EV, OBS) + (
+        f"SELECT {OBS_COLS} FROM obs "
+        "WHERE strptime(date, '%Y-%m-%d_%H%M') + INTERVAL 1 HOUR <= "
+        "(SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR"),
     "stream_score": "SELECT count(*) AS n_scored FROM events",
     "stream_completeness": _with(EV) + (
         "SELECT date AS batch, count(DISTINCT city) AS n_sources FROM ev GROUP BY date"),

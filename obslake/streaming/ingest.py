@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obslake.schema import KEY_COLUMNS
@@ -54,7 +55,30 @@ def dedupe_stream(readings: DataFrame, event_time: str, delay: str = "2 hours",
     Spark's streaming dedupe has no map-side step: every row of a key in a
     micro-batch is shuffled to that key's task, which streams them past one
     state entry (nothing is buffered).  Where one key may carry a large share
-    of the rows, load through :func:`start_load_stream`, whose first-wins
-    aggregate combines each key map-side before the shuffle."""
+    of the rows, use :func:`first_wins_stream` (or :func:`start_load_stream`),
+    whose first-wins aggregate combines each key map-side before the
+    shuffle."""
     return (readings.withWatermark(event_time, delay)
             .dropDuplicatesWithinWatermark(list(keys)))
+
+
+def first_wins_stream(readings: DataFrame, event_time: str, order_by: Sequence[str],
+                      keys: Sequence[str] = tuple(KEY_COLUMNS), window: str = "1 hour",
+                      delay: str = "2 hours") -> DataFrame:
+    """STR-4, exact form: the keyed insert's first-wins rule (smallest
+    ``order_by`` tuple per key) as an event-time windowed aggregate.
+
+    A batch key covers one ``window`` of event time, so all its readings
+    fall in one window.  The aggregate combines each key map-side before the
+    shuffle (a key holding a third of the rows costs one record per map
+    task), and in ``append`` mode emits each key once, when the watermark
+    passes the end of its window, after which its state is dropped.
+    Readings later than ``delay`` are ignored, as in any watermarked
+    aggregate."""
+    keys, order_by = list(keys), [c for c in order_by if c not in keys]
+    rest = [c for c in readings.columns if c not in keys and c not in order_by]
+    timed = readings.withColumn("_et", F.col(event_time).cast("timestamp")) \
+        .withWatermark("_et", delay)
+    out = timed.groupBy(F.window("_et", window).alias("_w"), *keys).agg(
+        F.min(F.struct(*order_by, *rest)).alias("_first"))
+    return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in [*order_by, *rest]])

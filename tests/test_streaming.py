@@ -121,3 +121,42 @@ def test_report_stream_reports_each_batch_once_when_complete(spark, lake, tmpdir
     ck = os.path.join(tmpdir_path, "ck2")
     run()
     assert read_reports(spark, reports).count() == 1
+
+
+def test_first_wins_stream_is_exact_and_emits_closed_hours_once(spark, tmpdir_path):
+    """Per key the smallest (ts, v) row, like the batch first-wins; a key is
+    emitted once its hour closes; a reading later than the delay is ignored."""
+    from obslake.operators.dedupe import first_wins
+    from obslake.streaming import first_wins_stream
+    src = os.path.join(tmpdir_path, "ev")
+
+    def put(name, rows):
+        spark.createDataFrame(rows, "ts string, city string, v int").select(
+            F.to_timestamp("ts").cast("timestamp_ntz").alias("ts"), "city", "v",
+            F.date_format(F.to_timestamp("ts"), "yyyy-MM-dd_HH00").alias("date"),
+        ).coalesce(1).write.mode("overwrite").parquet(os.path.join(src, name))
+
+    # A hot key: many readings of (10:00, a), the smallest ts wins (tie on ts
+    # broken by v).
+    put("f1", [("2024-01-01 10:30:00", "a", 5), ("2024-01-01 10:05:00", "a", 9),
+               ("2024-01-01 10:05:00", "a", 7), ("2024-01-01 10:50:00", "a", 1),
+               ("2024-01-01 10:20:00", "b", 3), ("2024-01-01 11:10:00", "a", 4)])
+    # Moves the watermark to 13:30 - 1h: the 10:00 and 11:00 hours close.
+    put("f2", [("2024-01-01 13:30:00", "b", 8)])
+    # Later than the watermark: ignored.  13:00 stays open (not emitted).
+    put("f3", [("2024-01-01 10:40:00", "a", 0)])
+    schema = "ts timestamp_ntz, city string, v int, date string"
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+         .option("recursiveFileLookup", "true").parquet(src))
+    out = os.path.join(tmpdir_path, "o")
+    (first_wins_stream(s, "ts", ["ts", "v"], delay="1 hour").writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
+        .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    got = sorted((r.date, r.city, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [("2024-01-01_1000", "a", 7), ("2024-01-01_1000", "b", 3),
+                   ("2024-01-01_1100", "a", 4)]
+    # The same rule in batch over the emitted hours gives the same rows.
+    batch = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(src) \
+        .where(F.col("date") < "2024-01-01_1300").where(F.col("v") != 0)
+    want = sorted((r.date, r.city, r.v) for r in first_wins(batch, ["date", "city"], ["ts", "v"]).collect())
+    assert got == want
