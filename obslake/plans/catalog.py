@@ -182,12 +182,15 @@ def q_union_positional(spark, sf_dir):
 
 
 def q_pct_text(spark, sf_dir):
+    """Share of each source's readings that fall in complete batches, as
+    percentage text.  The complete-batch keys flag the readings (one row per
+    batch on the right, so the left join adds no rows); one aggregate then
+    counts both."""
     o = _obs(spark, sf_dir, cols=())
-    clean = quality.keep_complete(o, N)
-    a = quality.rows_per(clean, "city", "n_clean")
-    b = quality.rows_per(o, "city", "n_obs")
-    return b.join(a, "city", "left").select(
-        "city", pct_text(F.coalesce(F.col("n_clean"), F.lit(0)) / F.col("n_obs")).alias("share"))
+    keys = quality.complete_batches(o, N).withColumn("_complete", F.lit(1))
+    per = o.join(keys, "date", "left").groupBy("city").agg(
+        F.count(F.lit(1)).alias("n_obs"), F.count("_complete").alias("n_clean"))
+    return per.select("city", pct_text(F.col("n_clean") / F.col("n_obs")).alias("share"))
 
 
 def q_batch_key(spark, sf_dir):
