@@ -1,11 +1,10 @@
-"""PRJ-1..5: struct flatten with carried columns, provenance label."""
+"""PRJ-1, PRJ-4: struct flatten with carried columns, provenance label."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from obslake.functions.expr import source_from_path
 from obslake.schema import BATCH_COL, SOURCE_COL
@@ -27,8 +26,3 @@ def flatten(raw: DataFrame, struct_col: str = "current",
         out = out.withColumn(SOURCE_COL, source_from_path(path_col))
     return out
 
-
-def keep_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """PRJ-2 / PRJ-3: prune to the named columns (pushed into the scan's
-    ReadSchema by Catalyst)."""
-    return df.select(*[F.col(n) for n in names])

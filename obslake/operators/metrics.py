@@ -57,15 +57,6 @@ def precision_by_label(df: DataFrame, label: str, prediction: str,
          .otherwise(F.col("_tp") / F.col("_predicted")).alias(alias))
 
 
-def label_precision(df: DataFrame, label: str, prediction: str, positive: float = 0.0):
-    """Precision of one label as aggregate columns (TP and predicted count),
-    for use inside a larger groupBy; 0.0 when never predicted."""
-    is_pred = F.col(prediction) == F.lit(positive)
-    tp = F.sum((is_pred & (F.col(label) == F.lit(positive))).cast("long"))
-    predicted = F.sum(is_pred.cast("long"))
-    return F.when(predicted == 0, F.lit(0.0)).otherwise(tp / predicted)
-
-
 def point_lookup(df: DataFrame, by: str, value: str, order: str,
                  alias: str | None = None) -> DataFrame:
     """LIM-2: per group, the value of the first row by ``order`` — one
