@@ -3,7 +3,7 @@
     spark-submit -m obslake load  --lake s3a://bucket/data/weather --target s3a://bucket/flat
     spark-submit -m obslake train --flat ... --models ... --day 2025-09-09
     spark-submit -m obslake score --lake ... --models ... --batch 2025-09-09_1500 --reports ...
-    spark-submit -m obslake stream-load --lake ... --target ... --checkpoint ... [--every "3 minutes"]
+    spark-submit -m obslake stream-load --lake ... --target ... --checkpoint ... [--every "3 minutes"] [--max-files N]
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--target", required=True)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--every", help="processing-time trigger, e.g. '3 minutes'; default availableNow")
+    st.add_argument("--max-files", type=int, help="files per micro-batch (bounded backfills)")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"obslake-{a.cmd}").getOrCreate()
@@ -51,7 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.score_job(spark, a.lake, a.batch, a.models, a.reports)
     elif a.cmd == "stream-load":
         trig = {"processingTime": a.every} if a.every else None
-        jobs.stream_load_job(spark, a.lake, a.target, a.checkpoint, trig).awaitTermination()
+        jobs.stream_load_job(spark, a.lake, a.target, a.checkpoint, trig,
+                             max_files_per_trigger=a.max_files).awaitTermination()
 
 
 if __name__ == "__main__":

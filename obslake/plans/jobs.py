@@ -128,10 +128,17 @@ def _assembler_inputs(model) -> list[str]:
 
 
 def stream_load_job(spark: SparkSession, lake_root: str, target: str, checkpoint: str,
-                    trigger: dict | None = None):
-    """Load as Structured Streaming: each trigger picks up only new files."""
+                    trigger: dict | None = None, max_files_per_trigger: int | None = None):
+    """Load as Structured Streaming: each trigger picks up only new files.
+
+    ``max_files_per_trigger`` caps the files in one micro-batch, so a backfill
+    over a large lake runs as a series of bounded micro-batches (an
+    ``availableNow`` trigger still drains everything) instead of one."""
     from obslake.streaming.ingest import start_load_stream
-    stream = (spark.readStream.schema(RAW).json(lake_root)
+    reader = spark.readStream.schema(RAW)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    stream = (reader.json(lake_root)
               .select("*", F.col("_metadata.file_path").alias("file_path")))
     good = flatten(with_reject_reason(stream).where(F.col("reject_reason").isNull()))
     return start_load_stream(good, target, checkpoint, trigger=trigger)

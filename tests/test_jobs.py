@@ -61,6 +61,17 @@ def test_stream_load_job(spark, lake, tmpdir_path):
     assert spark.read.parquet(flat).count() == 9
 
 
+def test_stream_load_job_bounded_micro_batches(spark, lake, tmpdir_path):
+    _fill(lake, range(0, 3))
+    flat = os.path.join(tmpdir_path, "flat")
+    q = jobs.stream_load_job(spark, lake.root, flat, os.path.join(tmpdir_path, "ck"),
+                             max_files_per_trigger=2)
+    q.awaitTermination()
+    assert spark.read.parquet(flat).count() == 9
+    # Nine files at two per trigger: at least five micro-batches, all drained.
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) >= 5
+
+
 def test_load_named_batches_only(spark, lake, tmpdir_path):
     _fill(lake, range(0, 4))
     lake.put("2025-09-09_0200", "miami", "<html>bad</html>", name="miami_x.json")
