@@ -13,6 +13,7 @@ scheduler (cron, a workflow tool, a streaming trigger) stays outside.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from obslake.schema import (
     BATCH_COL, FEATURE_COLUMNS, LABEL_INDEX_COL, PARTITION_COL, RAW, SOURCE_COL,
     SOURCES_PER_BATCH,
 )
+from obslake.session import path_exists
 from obslake.sinks.table import insert_if_absent, write_documents
 from obslake.sources.lake import scan_batch, scan_lake, with_reject_reason
 
@@ -99,7 +101,8 @@ def score_job(spark: SparkSession, lake_root: str, batches: Sequence[str] | None
               as_of_day: str | None = None) -> DataFrame:
     """Score: the given batches (all batches when None), newest model on or
     before ``as_of_day`` (default: the first batch's day), one report row per
-    batch (written as JSON under ``day=`` when ``report_root`` is given).
+    batch (written as JSON under ``day=`` when ``report_root`` is given, once
+    per (batch, model): a rerun adds no second document).
     ``prepare`` derives model inputs from the flattened documents when they
     are not stored as-is."""
     day = as_of_day or (min(batches)[:10] if batches else None)
@@ -114,8 +117,19 @@ def score_job(spark: SparkSession, lake_root: str, batches: Sequence[str] | None
     scored = model.transform(docs.dropna(subset=list(_assembler_inputs(model))))
     report = score_report(scored, path, label_col=LABEL_INDEX_COL)
     if report_root:
-        write_documents(report.withColumn(PARTITION_COL, day_of_batch(BATCH_COL)),
-                        report_root, partition_col=PARTITION_COL)
+        out = report.withColumn(PARTITION_COL, day_of_batch(BATCH_COL))
+        if path_exists(spark, report_root):
+            # One report per (batch, model): a rerun or retried job writes
+            # nothing twice.  Only the report days of the named batches are
+            # read (taken from the batch keys, so no extra pass over the lake).
+            done = spark.read.schema(
+                f"datetime string, model_location string, {PARTITION_COL} date").json(report_root)
+            if batches:
+                days = sorted({dt.date.fromisoformat(b[:10]) for b in batches})
+                done = done.where(F.col(PARTITION_COL).isin(days))
+            out = out.join(done.select("datetime", "model_location"),
+                           ["datetime", "model_location"], "left_anti")
+        write_documents(out, report_root, partition_col=PARTITION_COL)
     return report
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 
+from obslake.modeling.report import read_reports
 from obslake.plans import jobs
 from tests.conftest import reading
 
@@ -48,6 +49,9 @@ def test_load_train_score(spark, lake, tmpdir_path):
     assert rep[0].city_indexes["key_west"] == 3.0   # unseen -> number of labels
     # Temperatures separate the three known cities perfectly: 3 of 4 right.
     assert rep[0].accuracy == "75.00%"
+    # A rerun (or a retried job) writes no second report for the batch.
+    jobs.score_job(spark, lake.root, ["2025-09-09_1400"], models, reports)
+    assert read_reports(spark, reports).where("datetime = '2025-09-09_1400'").count() == 1
     files = [f for f in os.listdir(os.path.join(reports, "day=2025-09-09")) if f.endswith(".json")]
     doc = json.loads(open(os.path.join(reports, "day=2025-09-09", files[0])).readline())
     assert doc["datetime"] == "2025-09-09_1400" and doc["accuracy"] == "75.00%"
