@@ -59,6 +59,12 @@ def load_job(spark: SparkSession, lake_root: str, target: str,
     if quarantine:
         bad = flagged.where(F.col("reject_reason").isNotNull()).select(
             "file_path", BATCH_COL, "reject_reason", "_corrupt_record")
+        if path_exists(spark, quarantine):
+            # A rerun quarantines nothing twice: files already there are
+            # skipped (the quarantine holds only rejected documents, so its
+            # path column is small next to the lake).
+            seen = spark.read.parquet(quarantine).select("file_path")
+            bad = bad.join(seen, "file_path", "left_anti")
         bad.withColumn(PARTITION_COL, day_of_batch(BATCH_COL)) \
            .write.mode("append").partitionBy(PARTITION_COL).parquet(quarantine)
         flagged.unpersist()

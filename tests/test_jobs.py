@@ -29,8 +29,10 @@ def test_load_train_score(spark, lake, tmpdir_path):
     r = jobs.load_job(spark, lake.root, flat, quar)
     assert r.inserted == 12 * 3 + 1
     assert spark.read.parquet(quar).count() == 1
-    # Re-running the load adds nothing.
+    # Re-running the load adds nothing, to the table or the quarantine.
     assert jobs.load_job(spark, lake.root, flat).inserted == 0
+    assert jobs.load_job(spark, lake.root, flat, quar).inserted == 0
+    assert spark.read.parquet(quar).count() == 1
 
     models = os.path.join(tmpdir_path, "models")
     path = jobs.train_job(spark, flat, models, "2025-09-09")
