@@ -100,12 +100,19 @@ def label_index_table(df: DataFrame, label: str, index_col: str = LABEL_INDEX_CO
 
 def save_model(model: PipelineModel, store: str, day: str) -> str:
     """SNK-4: ``<store>/date=<day>/model`` (overwrite), plus one row in the
-    store's registry table so loaders never list directories."""
+    store's registry table (once per day and path) so loaders never list
+    directories."""
+    from obslake.session import path_exists
     spark = SparkSession.getActiveSession()
     path = f"{store.rstrip('/')}/date={day}/model"
     model.write().overwrite().save(path)
-    spark.createDataFrame([(day, path)], "model_day string, model_path string") \
-        .write.mode("append").parquet(f"{store.rstrip('/')}/_registry")
+    reg = f"{store.rstrip('/')}/_registry"
+    entry = spark.createDataFrame([(day, path)], "model_day string, model_path string")
+    if path_exists(spark, reg):
+        # A rerun of the same day overwrites the model; its registry row is
+        # already there.
+        entry = entry.join(spark.read.parquet(reg), ["model_day", "model_path"], "left_anti")
+    entry.write.mode("append").parquet(reg)
     return path
 
 

@@ -74,6 +74,8 @@ def test_fit_save_load_identical_and_latest_resolver(spark, training, tmpdir_pat
     store = os.path.join(tmpdir_path, "models")
     p1 = ml.save_model(model, store, "2024-01-10")
     p2 = ml.save_model(model, store, "2024-01-20")
+    assert ml.save_model(model, store, "2024-01-20") == p2      # rerun of a day
+    assert spark.read.parquet(os.path.join(store, "_registry")).count() == 2
     assert ml.latest_model_path(spark, store, "2024-01-15") == p1
     assert ml.latest_model_path(spark, store) == p2
     assert ml.latest_model_path(spark, store, "2023-12-31") is None
