@@ -103,6 +103,11 @@ def test_cli_load_train_score(spark, lake, tmpdir_path, capsys):
     from obslake.modeling.report import read_reports
     r = read_reports(spark, reports).collect()
     assert [x.datetime for x in r] == ["2025-09-09_0500"]
+    # Streaming load with bounded micro-batches, into a fresh table.
+    streamed = os.path.join(tmpdir_path, "streamed")
+    main(["stream-load", "--lake", lake.root, "--target", streamed,
+          "--checkpoint", os.path.join(tmpdir_path, "ck"), "--max-files", "4"])
+    assert spark.read.parquet(streamed).count() == 18
 
 
 def test_train_with_hash_split_records_split(spark, lake, tmpdir_path):
