@@ -170,14 +170,16 @@ def q_random_split(spark, sf_dir):
 
 
 def q_union_cities(spark, sf_dir):
+    """SET-1: one read per source (as the Score job read one file per city),
+    every source, unioned by name."""
     o = _obs(spark, sf_dir).select(*OBS_COLS)
-    parts = [o.where(F.col("city") == c) for c in ("click", "view", "error")]
+    parts = [o.where(F.col("city") == c) for c in si.EVENT_SOURCES]
     return metrics.union_sources(parts)
 
 
 def q_union_positional(spark, sf_dir):
     o = _obs(spark, sf_dir).select(*OBS_COLS)
-    parts = [o.where(F.col("city") == c) for c in ("click", "view", "error")]
+    parts = [o.where(F.col("city") == c) for c in si.EVENT_SOURCES]
     return metrics.union_sources(parts, by_name=False)
 
 

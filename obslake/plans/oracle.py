@@ -8,6 +8,8 @@ Doubles are rounded where Spark and DuckDB may differ in the last bit, and
 
 from __future__ import annotations
 
+from obslake.plans.standins import EVENT_SOURCES
+
 EV = """ev AS (
   SELECT event_id, ts, user_id, event_type AS city, value, props,
          strftime(ts, '%Y-%m-%d_%H00') AS date
@@ -39,6 +41,9 @@ def _with(*ctes: str) -> str:
 
 
 OBS_COLS = "date, city, event_id, value"
+# SET-1: one read per source, all sources, unioned.
+_PER_SOURCE_UNION = " UNION ALL ".join(
+    f"SELECT {OBS_COLS} FROM obs WHERE city = '{c}'" for c in EVENT_SOURCES)
 HASH_BUCKET = ("(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8))"
                "::BIGINT % 100)")
 LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "interval"]
@@ -122,10 +127,7 @@ WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.date = o.date AND p.city = o.cit
     "hash_split": (
         f"SELECT CASE WHEN {HASH_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split, "
         "count(*) AS n FROM lineitem GROUP BY 1"),
-    "union_cities": _with(EV, OBS) + (
-        f"SELECT {OBS_COLS} FROM obs WHERE city = 'click' UNION ALL "
-        f"SELECT {OBS_COLS} FROM obs WHERE city = 'view' UNION ALL "
-        f"SELECT {OBS_COLS} FROM obs WHERE city = 'error'"),
+    "union_cities": _with(EV, OBS) + _PER_SOURCE_UNION,
     "pct_text": _with(EV, OBS, CLEAN) + """SELECT b.city,
   printf('%.2f%%', CAST(coalesce(a.n_clean, 0) AS DOUBLE) / b.n_obs * 100) AS share
 FROM (SELECT city, count(*) AS n_obs FROM obs GROUP BY city) b
@@ -200,10 +202,7 @@ FROM (SELECT DISTINCT date, city FROM ev) e JOIN idx USING (city) GROUP BY date"
 )""") + """SELECT date AS datetime, 'PipelineModel' AS model_type,
   string_agg(city || '=' || printf('%.1f', city_index), ',' ORDER BY city) AS city_indexes
 FROM clean JOIN idx USING (city) GROUP BY date""",
-    "union_positional": _with(EV, OBS) + (
-        f"SELECT {OBS_COLS} FROM obs WHERE city = 'click' UNION ALL "
-        f"SELECT {OBS_COLS} FROM obs WHERE city = 'view' UNION ALL "
-        f"SELECT {OBS_COLS} FROM obs WHERE city = 'error'"),
+    "union_positional": _with(EV, OBS) + _PER_SOURCE_UNION,
     "stream_ingest": _with(EV, OBS) + f"SELECT {OBS_COLS} FROM obs",
     "stream_dedupe": _with(EV) + "SELECT DISTINCT date, city FROM ev",
     # Emitted keys: hours whose end is at or before the final watermark
