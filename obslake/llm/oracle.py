@@ -2,4 +2,31 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from obslake.llm.urls import RULES
+
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_url_filters": f"""
+WITH rules(rh, rp, verdict) AS (VALUES {_RULES}),
+rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+  FROM pages
+),
+parts AS (
+  SELECT page_id,
+         translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+),
+fits AS (
+  SELECT host, path, rh || rp AS rule, verdict,
+         row_number() OVER (PARTITION BY host, path
+                            ORDER BY length(rh) + length(rp) DESC, length(rh) DESC, verdict = 'block' DESC) AS k
+  FROM (SELECT DISTINCT host, path FROM parts)
+  JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON f.host = p.host AND f.path = p.path AND f.k = 1
+""",
+}
