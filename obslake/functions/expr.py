@@ -44,8 +44,8 @@ def day_key(ts) -> Column:
 
 def day_of_batch(batch="date") -> Column:
     """The day of a batch key, as a DATE (what partition discovery reads
-    back from a ``day=yyyy-MM-dd`` directory)."""
-    return F.to_date(F.substring(_c(batch), 1, 10), "yyyy-MM-dd")
+    back from a ``day=yyyy-MM-dd`` directory); null for a key that is no day."""
+    return F.try_to_timestamp(F.substring(_c(batch), 1, 10), F.lit("yyyy-MM-dd")).cast("date")
 
 
 def pct_text(ratio) -> Column:
@@ -62,8 +62,8 @@ def document_key(batch="date", source="city", root: str = "data/weather") -> Col
 
 
 def json_text(*cols: str) -> Column:
-    """SCL-7: a record as JSON text."""
-    return F.to_json(F.struct(*cols))
+    """SCL-7: a record as JSON text; null fields are written as null."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
 def sorted_map(key, value, where: Column | None = None) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the row with the smallest ``order_by`` tuple (ties
+    """One row per key: the row with the smallest ``order_by`` tuple (nulls last, ties
     broken by the remaining columns, so the answer is deterministic).
 
     Written as ``min(struct(order..., rest...))`` per key rather than
@@ -21,7 +21,9 @@ def first_wins(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    winner = F.min(F.struct(*[F.col(c) for c in order_by + rest])).alias("_first")
+    # A null sorts first in a struct: its flag before it puts it last.
+    ranked = [x for i, c in enumerate(order_by) for x in (F.col(c).isNull().alias(f"_null_{i}"), F.col(c))]
+    winner = F.min(F.struct(*ranked, *[F.col(c) for c in rest])).alias("_first")
     out = df.groupBy(*keys).agg(winner)
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order_by + rest]) \
               .select(*df.columns)

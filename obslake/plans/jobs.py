@@ -63,7 +63,7 @@ def load_job(spark: SparkSession, lake_root: str, target: str,
             # A rerun quarantines nothing twice: files already there are
             # skipped (the quarantine holds only rejected documents, so its
             # path column is small next to the lake).
-            seen = spark.read.parquet(quarantine).select("file_path")
+            seen = spark.read.schema("file_path string").parquet(quarantine)
             bad = bad.join(seen, "file_path", "left_anti")
         bad.withColumn(PARTITION_COL, day_of_batch(BATCH_COL)) \
            .write.mode("append").partitionBy(PARTITION_COL).parquet(quarantine)
@@ -148,14 +148,18 @@ def _assembler_inputs(model) -> list[str]:
 
 
 def stream_load_job(spark: SparkSession, lake_root: str, target: str, checkpoint: str,
-                    trigger: dict | None = None, max_files_per_trigger: int | None = None):
+                    trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                    max_file_age: str = "36500d"):
     """Load as Structured Streaming: each trigger picks up only new files.
 
     ``max_files_per_trigger`` caps the files in one micro-batch, so a backfill
     over a large lake runs as a series of bounded micro-batches (an
-    ``availableNow`` trigger still drains everything) instead of one."""
+    ``availableNow`` trigger still drains everything) instead of one.
+    ``max_file_age``: a file older than the newest seen by more than this is
+    not read; the default (100 years) leaves none out, where Spark's own (a
+    week) would skip late files."""
     from obslake.streaming.ingest import start_load_stream
-    reader = spark.readStream.schema(RAW)
+    reader = spark.readStream.schema(RAW).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = (reader.json(lake_root)

@@ -8,6 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obslake.operators.dedupe import first_wins
 from obslake.session import path_exists
@@ -15,11 +16,12 @@ from obslake.functions.expr import day_of_batch
 from obslake.schema import BATCH_COL, KEY_COLUMNS, PARTITION_COL
 
 
-def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at ``path``, or None before its first write."""
+def read_table_or_none(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
+    """The columns ``schema`` of the Parquet table at ``path``, or None before
+    its first write."""
     if not path_exists(spark, path):
         return None
-    return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def insert_if_absent(batch: DataFrame, target_path: str,
@@ -54,7 +56,8 @@ def insert_if_absent(batch: DataFrame, target_path: str,
                       keys, order_by)
     if partition_expr is not None:
         rows = rows.withColumn(partition_col, partition_expr)
-    existing = read_table_or_none(spark, target_path)
+    # With a declared schema, a target without a file yet is an empty table.
+    existing = read_table_or_none(spark, target_path, rows.select(partition_col, *keys).schema)
     cached = None
     if existing is not None:
         # The touched days and the anti-join both read the deduplicated rows:
@@ -102,9 +105,9 @@ def write_documents(df: DataFrame, path: str, partition_col: str | None = None,
     """SNK-5 / SNK-6: rows as JSON documents (metadata next to a model,
     reports under ``<partition_col>=<value>`` directories)."""
     if partition_col:
-        df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col).json(path)
+        df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col).option("ignoreNullFields", "false").json(path)
     else:
-        df.write.mode(mode).json(path)
+        df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def preview(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from obslake.schema import BATCH_COL, RAW, SOURCE_COL
-from obslake.functions.expr import source_from_path
+from obslake.functions.expr import day_of_batch, source_from_path
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -107,6 +107,7 @@ def with_reject_reason(df: DataFrame, body_col: str = "current",
         reasons.append((F.col(source_col).isNull(), "no_source_in_path"))
     if BATCH_COL in df.columns:
         reasons.append((F.col(BATCH_COL).isNull(), "no_batch_in_path"))
+        reasons.append((day_of_batch(BATCH_COL).isNull(), "bad_batch_key"))
     expr = F.lit(None).cast("string")
     for cond, why in reversed(reasons):
         expr = F.when(cond, F.lit(why)).otherwise(expr)

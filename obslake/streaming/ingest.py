@@ -79,6 +79,8 @@ def first_wins_stream(readings: DataFrame, event_time: str, order_by: Sequence[s
     rest = [c for c in readings.columns if c not in keys and c not in order_by]
     timed = readings.withColumn("_et", F.col(event_time).cast("timestamp")) \
         .withWatermark("_et", delay)
+    # A null sorts first in a struct: its flag before it puts it last.
+    ranked = [x for i, c in enumerate(order_by) for x in (F.col(c).isNull().alias(f"_null_{i}"), F.col(c))]
     out = timed.groupBy(F.window("_et", window).alias("_w"), *keys).agg(
-        F.min(F.struct(*order_by, *rest)).alias("_first"))
+        F.min(F.struct(*ranked, *rest)).alias("_first"))
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in [*order_by, *rest]])
