@@ -7,11 +7,12 @@
 3. Improved consistent weighted sampling draws ``bands * rows`` samples of a
    text; two texts agree on a sample with a probability equal to their
    weighted Jaccard similarity.  ``rows`` samples form a band key.
-4. In each bucket every member is paired with one centre, never with all
-   others.  Pairs are verified by exact weighted Jaccard similarity; links
-   form components.  Buckets that still hold several components go to another
-   round, one node per component, with another centre and a fixed number of
-   neighbours, until a round has no new pair or finds no link.
+4. In each bucket every member is first paired with one centre.  Pairs are
+   verified by exact weighted Jaccard similarity; links form components.
+5. In buckets that still hold several components, all members are compared
+   with all members of other components, in hashed pairs of blocks.  A bound
+   of the overlap excludes pairs; the others are verified as before, unless
+   verified links have already joined their components.
 
 The consistent random variates (r, c, beta) of a shingle and a sample come
 from a table of 65,536 draws, addressed by a hash of both, so that all tasks
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obslake.llm.common import blocks, mix64, shingle_hashes, written
@@ -38,8 +39,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 10, 3  # a pair at 0.8 is missed by all bands with p = 0.0008
 IDF_BITS = 18        # size of the hashed document-frequency table
 DRAWS = 1 << 16
-NEIGHBOURS = 8       # of a component in a residual bucket, besides the centre
-SPLIT = 1000         # components of a residual bucket that one window may hold
+BLOCK = 256          # members of a bucket that are compared at a time with as many others
+COLUMNS = 4096       # shingles of one step of a block's overlap matrix
 _SEED = 0x5EED
 
 
@@ -205,25 +206,22 @@ def links(nodes: DataFrame, *, threshold: float = THRESHOLD, width: int = WIDTH,
     pairs = (members.join(centres, "key").where("node <> b")
              .select(F.col("b").alias("a"), F.col("node").alias("b")).distinct())
     rooted = members.select("node").distinct().select("node", F.col("node").alias("root"))
-    tried: DataFrame | None = None
-    salt = 0
-    while True:
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, "neardup-pairs")
-        if pairs.isEmpty():
-            return rooted
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = written(verified(pairs, texts, idf, threshold, width), "neardup-links")
-        if salt and found.isEmpty():
-            return rooted
-        if not found.isEmpty():
-            merged = components(_between_roots(found, rooted)).select(
-                F.col("node").alias("root"), F.col("root").alias("up"))
-            rooted = written(rooted.join(merged, "root", "left")
-                             .select("node", F.coalesce("up", "root").alias("root")), "neardup-roots")
-        salt += 1
-        pairs = _residual_pairs(members, rooted, salt)
+    rooted = _merged(rooted, verified(written(pairs, "neardup-pairs"), texts, idf, threshold, width))
+    rest = written(_open_members(members, rooted), "neardup-open")
+    if rest.isEmpty():
+        return rooted
+    return _merged(rooted, _links_between(_block_pairs(rest), texts, idf, threshold, width))
+
+
+def _merged(rooted: DataFrame, found: DataFrame) -> DataFrame:
+    """``rooted`` with the components that the links ``found`` join made one."""
+    found = written(found, "neardup-links")
+    if found.isEmpty():
+        return rooted
+    merged = components(_between_roots(found, rooted)).select(
+        F.col("node").alias("root"), F.col("root").alias("up"))
+    return written(rooted.join(merged, "root", "left")
+                   .select("node", F.coalesce("up", "root").alias("root")), "neardup-roots")
 
 
 def _between_roots(found: DataFrame, rooted: DataFrame) -> DataFrame:
@@ -234,28 +232,128 @@ def _between_roots(found: DataFrame, rooted: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _residual_pairs(members: DataFrame, rooted: DataFrame, salt: int) -> DataFrame:
-    """Pairs for buckets that hold several components, one node of each.
-
-    Every component meets a centre (by a hash salted with the round) and the
-    next ``NEIGHBOURS`` components of its bucket in the order of that hash:
-    at most ``NEIGHBOURS + 1`` pairs a row, which are all pairs of a bucket of
-    up to that many components.
-    """
-    current = (members.join(rooted, "node").groupBy("key", "root").agg(F.min("node").alias("node"))
-               .select("key", "node", F.xxhash64(F.lit(salt), "node").alias("o")))
-    heads = current.groupBy("key").agg(
-        F.min(F.struct("o", "node")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    open_rows = current.join(heads, "key")
-    star = open_rows.select("node", F.col("head.node").alias("other")).where("node <> other")
-    # A bucket is cut into runs of SPLIT hash values, so no window holds a whole hot bucket.
-    run = F.when(F.col("n") > SPLIT, F.pmod("o", F.ceil(F.col("n") / SPLIT))).otherwise(0)
-    order = Window.partitionBy("key", "run").orderBy("o", "node")
-    nexts = F.array(*[F.lead("node", i).over(order) for i in range(1, NEIGHBOURS + 1)])
-    near = (open_rows.withColumn("run", run).select("node", nexts.alias("others"))
-            .select("node", F.explode("others").alias("other")).where("other is not null"))
-    return (star.unionByName(near)
-            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+def _open_members(members: DataFrame, rooted: DataFrame) -> DataFrame:
+    """(key, node, root) of the buckets that hold several components."""
+    current = members.join(rooted, "node")
+    several = (current.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+               .where("low < high").select("key"))
+    return current.join(several, "key").select("key", "node", "root")
+
+
+def _block_pairs(rest: DataFrame) -> DataFrame:
+    """(key, low, high, block, node, root): the members of each bucket dealt
+    into hashed blocks of about ``BLOCK``, one row per pair of blocks that a
+    member is compared in.
+
+    Members of a bucket's largest component are not compared with each other,
+    so their blocks meet only those of all other members."""
+    sizes = rest.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    whole = F.col("n") <= BLOCK
+    in_main = ~whole & (F.col("root") == F.col("main.root"))
+    n_main = F.when(whole, 0).otherwise(F.ceil(F.col("main.n") / BLOCK)).cast("int")
+    n_other = F.when(whole, 1).otherwise(F.ceil((F.col("n") - F.col("main.n")) / BLOCK)).cast("int")
+    dealt = F.xxhash64(F.lit("block"), "node")
+    block = F.when(in_main, n_other + F.pmod(dealt, n_main)).otherwise(F.pmod(dealt, n_other)).cast("int")
+    last = F.when(in_main, n_other).otherwise(n_other + n_main) - 1
+    return (rest.join(largest, "key")
+            .select("key", "node", "root", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+            .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                    "block", "node", "root"))
+
+
+def _packs(batches):
+    """Frames of whole block pairs from sorted batches; small ones together."""
+    held = None
+    for pdf in batches:
+        if held is not None:
+            pdf = pd.concat([held, pdf], ignore_index=True)
+        if len(pdf) == 0:
+            continue
+        of = pdf[["key", "low", "high"]].to_numpy()
+        starts = np.flatnonzero(np.append(True, (of[1:] != of[:-1]).any(axis=1)))
+        begin = 0
+        for at in starts[1:]:
+            if at - begin >= BLOCK or at == starts[-1]:
+                yield pdf.iloc[begin:at]
+                begin = at
+        held = pdf.iloc[begin:]
+    if held is not None and len(held):
+        yield held
+
+
+def _overlap_bound(texts: list[str], idf: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of each text, and for each two texts an upper bound of the sum of
+    minima: the sum of sqrt(w * w') (equal to it where the weights are equal)."""
+    hashes, doc, counts = unique_shingles(texts, width)
+    w = weights(hashes, counts, idf)
+    total = np.bincount(doc, w, minlength=len(texts))
+    bound = np.zeros((len(texts), len(texts)), np.float32)
+    _, column, texts_with = np.unique(hashes, return_inverse=True, return_counts=True)
+    kept = np.flatnonzero(texts_with[column] > 1)
+    column, doc, v = column[kept], doc[kept], np.sqrt(w[kept]).astype(np.float32)
+    order = np.argsort(column, kind="stable")
+    doc, v = doc[order], v[order]
+    column = np.cumsum(np.diff(column[order], prepend=-1) != 0) - 1
+    edges = np.searchsorted(column, np.arange(0, column[-1] + COLUMNS + 1, COLUMNS)) if len(column) else []
+    for k, (i, j) in enumerate(zip(edges, edges[1:])):
+        part = np.zeros((len(texts), COLUMNS), np.float32)
+        part[doc[i:j], column[i:j] - k * COLUMNS] = v[i:j]
+        bound += part @ part.T
+    return total, bound
+
+
+def _nearest(pdf: pd.DataFrame, idf: np.ndarray, threshold: float, width: int) -> pd.DataFrame:
+    """Verified links (a, b) that join the components of each block pair as all
+    its verified links would."""
+    none = pd.DataFrame({"a": [], "b": []}, dtype=object)
+    group = pdf.groupby(["key", "low", "high"], sort=False).ngroup().to_numpy()
+    label = pd.factorize(pdf["root"])[0]
+    block = pdf["block"].to_numpy()
+    alone = (pdf["low"] == pdf["high"]).to_numpy()
+    wanted = (group[:, None] == group) & (label[:, None] != label) & (alone[:, None] | (block[:, None] != block))
+    wanted = np.triu(wanted, 1)
+    if not wanted.any():
+        return none
+    texts, nodes = pdf["text"].tolist(), pdf["node"].to_numpy()
+    total, bound = _overlap_bound(texts, idf, width)
+    # A share of 1e-4 is left for rounding; what passes is verified exactly.
+    enough = bound * 1.0001 >= threshold / (1 + threshold) * (total[:, None] + total)
+    x, y = np.nonzero(wanted & enough)
+    order = np.argsort(-bound[x, y], kind="stable")
+    x, y = x[order], y[order]
+    out: list[tuple] = []
+    while len(x):
+        # The most promising pair of each component; then what is still apart.
+        first = np.zeros(len(x), bool)
+        for side in (label[x], label[y]):
+            first[np.unique(side, return_index=True)[1]] = True
+        a, b = [texts[i] for i in x[first]], [texts[i] for i in y[first]]
+        good = np.zeros(len(a), bool)
+        for i, j in blocks([s + t for s, t in zip(a, b)]):
+            good[i:j] = weighted_jaccard(a[i:j], b[i:j], idf, width) >= threshold
+        for i, j in zip(x[first][good], y[first][good]):
+            if label[i] != label[j]:
+                out.append((nodes[i], nodes[j]))
+                label[label == label[j]] = label[i]
+        left = ~first & (label[x] != label[y])
+        x, y = x[left], y[left]
+    return pd.DataFrame(out, columns=["a", "b"]) if out else none
+
+
+def _links_between(rows: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float, width: int) -> DataFrame:
+    """Links (a, b) between different components of a bucket.  Every pair of
+    nodes of different components is bounded, and verified unless the bound
+    excludes it or verified links have joined its components."""
+
+    def compare(batches):
+        for pdf in _packs(batches):
+            yield _nearest(pdf, idf, threshold, width)
+
+    return (rows.join(texts, "node").repartition("key", "low", "high")
+            .sortWithinPartitions("key", "low", "high")
+            .select("key", "low", "high", "block", "node", "root", "text")
+            .mapInPandas(compare, "a binary, b binary").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",

@@ -189,3 +189,43 @@ def test_near_duplicates(spark):
 def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert math.isclose(docs.select(toxicity.score(toxicity.fit(docs, labels)).alias("p")).head().p, 0.5)
+
+
+def brute_classes(texts):
+    """Classes of similar texts by all pairs (the smallest index of each)."""
+    sets = [neardup.unique_shingles([t], neardup.WIDTH) for t in texts]
+    df = np.bincount(np.concatenate([s[0] >> np.uint64(64 - neardup.IDF_BITS) for s in sets]).astype(np.int64),
+                     minlength=1 << neardup.IDF_BITS)
+    n = len(texts)
+    idf = (1 + np.log((1 + n) / (1 + np.minimum(df, n))) / np.log(1 + n)).astype(np.float32)
+    label = list(range(n))
+    for i in range(n):
+        for j in range(i + 1, n):
+            if neardup.weighted_jaccard([texts[i]], [texts[j]], idf, neardup.WIDTH)[0] >= neardup.THRESHOLD:
+                label = [label[i] if x == label[j] else x for x in label]
+    smallest = {}
+    for i, x in enumerate(label):
+        smallest.setdefault(x, i)
+    return {i: smallest[x] for i, x in enumerate(label)}
+
+
+def edited_copies(n, words=240, edits=4, seed=5):
+    """A text and ``n`` copies of it, each with words of its own exchanged."""
+    rng = np.random.default_rng(seed)
+    original = [f"w{i}" for i in range(words)]
+    out = [" ".join(original)]
+    for c in range(n):
+        copy = list(original)
+        for k in rng.choice(words, edits, False):
+            copy[k] = f"c{c}x{k}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_near_duplicates_of_edited_copies_equal_brute_force(spark):
+    texts = edited_copies(100)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    want = brute_classes(texts)
+    assert 1 < len(set(want.values())) < len(texts)
+    assert got == want
