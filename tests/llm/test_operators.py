@@ -229,3 +229,14 @@ def test_near_duplicates_of_edited_copies_equal_brute_force(spark):
     want = brute_classes(texts)
     assert 1 < len(set(want.values())) < len(texts)
     assert got == want
+
+
+def test_near_duplicates_of_crowded_buckets_equal_brute_force(spark, monkeypatch):
+    """Groups of copies around one shared passage, in buckets of many blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", 8, raising=False)
+    passage = " ".join(f"p{i}" for i in range(120))
+    texts = [f"{passage} {t.replace('w', f'g{g}w')}" for g in range(3)
+             for t in edited_copies(40, words=160, edits=4, seed=g)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == brute_classes(texts)
