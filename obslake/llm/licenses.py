@@ -1,8 +1,9 @@
 """Licence scans by sentence rules (DataFrame functions only).
 
-1. A text is cut into sentences, and a sentence that spans lines also into its
-   lines (a notice below a line without a full stop is found as a line, one
-   that is wrapped over lines as a sentence).
+1. A text is cut into sentences.  A sentence that is not known is cut at
+   blank and copyright lines, a part of it that is not known at colons, and
+   such a part into lines (a notice below a line without a full stop is found
+   as a line, one that is wrapped over lines as a sentence or part).
 2. Sentences are normalised: lower case, every run of characters other than
    letters and digits one space, ``licence`` spelt ``license``.
 3. Known normalised sentences become identifiers, others ``?``; neighbouring
@@ -95,7 +96,16 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Proprietary", ("allRights",)),
 )
 
-SENTENCE_END = r"([.!?:])[ \t\r\n]+"
+SENTENCE_END = r"([.!?])[ \t\r\n]+"
+# A line without a letter or digit (blank, or a bare comment marker), and the end of a copyright line.
+BLOCK_END = r"(?i)(\n[^\p{L}\p{N}\n]*(?=\n)|(?:^|(?<=[\n\u0001]))[^\p{L}\p{N}\n]*(?:copyright[ \t]+(?:[(]c[)]|\u00a9|[0-9]{4})|[(]c[)]|\u00a9)[^\n]*(?=\n))"
+COLON = r"(:)[ \t\r\n]+"
+LINE_END = r"(\n)"
+# What would part a known sentence: comment words before a line, the colon of
+# an SPDX tag, the break before the address of the Apache licence.
+COMMENT_WORD = r"(?im)^[ \t]*(?:dnl|rem)(?=[ \t\r\n]|$)"
+SPDX_TAG = r"(?i)(spdx-license-identifier)[ \t]*:[ \t]*"
+LICENSE_AT = r"(?i)(copy of the licen[cs]e at)[^a-z0-9]+(?=http)"
 _MARK = "\u0001"
 
 
@@ -109,22 +119,30 @@ def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip(" ").replace("licence", "license")
 
 
-def units(text: Column) -> Column:
-    """The sentences of a text, each followed by its lines if it has several."""
-    sentences = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), SENTENCE_END, f"$1{_MARK}"), _MARK)
-    return F.flatten(F.transform(sentences, lambda s: F.when(s.contains("\n"), F.concat(F.array(s), F.split(s, "\n")))
-                                 .otherwise(F.array(s))))
+def _parts(s: Column, end: str) -> Column:
+    return F.split(F.regexp_replace(s, end, f"$1{_MARK}"), _MARK)
 
 
 def identifiers(text: Column, sentences=SENTENCES) -> Column:
     """The sequence of a text as ``,a,b,?,c,`` (every identifier between two
-    commas of its own: ``,a,,b,``)."""
-    known = F.create_map(*[F.lit(x) for name, said in sentences.items() for s in said for x in (s, name)])
-    found = F.transform(units(text), lambda s: F.coalesce(
-        known[F.when(F.length(s) >= min(map(len, (s for said in sentences.values() for s in said))), normalised(s))],
-        F.lit("?")))
-    some = F.filter(found, lambda x: x != "")
-    return F.concat(F.lit(","), F.array_join(F.transform(some, lambda x: x), ",,"), F.lit(","))
+    commas of its own: ``,a,,b,``).
+
+    A sentence that is not known is cut at blank and copyright lines, a part
+    that is not known at colons, and such a part into lines."""
+    known = F.create_map(*[x for name, said in sentences.items() for s in said
+                           for x in (F.lit(s), F.array(F.lit(name)))])
+    least = min(len(s) for said in sentences.values() for s in said)
+    body = F.coalesce(text, F.lit(""))
+    for pattern, by in ((COMMENT_WORD, ""), (SPDX_TAG, "$1 "), (LICENSE_AT, "$1 ")):
+        body = F.regexp_replace(body, pattern, by)
+
+    def named(s, ends):
+        finer = F.flatten(F.transform(_parts(s, ends[0]), lambda x: named(x, ends[1:]))) if ends else F.array(F.lit("?"))
+        # Nothing in a text that is too short is known.
+        return F.when(F.length(s) >= least, F.coalesce(known[normalised(s)], finer)).otherwise(F.array(F.lit("?")))
+
+    found = F.flatten(F.transform(_parts(body, SENTENCE_END), lambda s: named(s, (BLOCK_END, COLON, LINE_END))))
+    return F.concat(F.lit(","), F.array_join(found, ",,"), F.lit(","))
 
 
 def find_licenses(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",

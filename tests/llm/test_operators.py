@@ -240,3 +240,37 @@ def test_near_duplicates_of_crowded_buckets_equal_brute_force(spark, monkeypatch
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: r.class_id for r in neardup.near_duplicates(docs).collect()}
     assert got == brute_classes(texts)
+
+
+def test_license_notices_as_usually_written(spark):
+    wrapped = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+               "documentation files (the \"Software\"), to deal\nin the Software without restriction, including without "
+               "limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the "
+               "Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
+               "\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial "
+               "portions of the Software.\n")
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public "
+           "License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any "
+           "later version.\n")
+    apache = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance "
+              "with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\n"
+              "Unless required by applicable law")
+
+    def comment(mark, t):
+        return "".join(f"{mark} {line}".rstrip() + "\n" for line in t.split("\n"))
+
+    rows = [("SPDX-License-Identifier: MIT", "MIT", "mitName"),
+            ("# SPDX-License-Identifier: Apache-2.0\nimport os\nx = 1", "Apache-2.0", "apache2Name,?"),
+            ("title\n/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0-or-later", "?,gpl2Later"),
+            (gpl, "GPL-3.0-or-later", "gpl3Later,?"),
+            ("Copyright (C) 2020 X\n\n" + gpl, "GPL-3.0-or-later", "?,gpl3Later,?"),
+            ("Copyright (c) 2020 X\n\n" + wrapped, "MIT", "?,mitGrant,mitNotice,?"),
+            ("Copyright (c) 2020 X\n" + wrapped, "MIT", "?,mitGrant,mitNotice,?"),
+            (comment(" *", "Copyright (c) 2020 X\n\n" + wrapped), "MIT", "?,mitGrant,mitNotice,?"),
+            (comment("dnl", "Copyright (c) 2020 X\n\n" + gpl), "GPL-3.0-or-later", "?,gpl3Later,?"),
+            (comment("#", apache), "Apache-2.0", None),
+            ("License: MIT License", "MIT", "?,mitName"), ("Terms:\nx\nall rights reserved\ny", "Proprietary", "?,allRights,?")]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "doc_id long, text string")
+    got = licenses.find_licenses(df).orderBy("doc_id").collect()
+    assert [r.licenses for r in got] == [w for _, w, _ in rows]
+    assert [r.sequence for r, (_, _, w) in zip(got, rows) if w] == [w for _, _, w in rows if w]
