@@ -67,8 +67,17 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]{16,}", hints=("akia",)),
     Rule("hex", "[0-9a-f]{24,}"),
 )
+# A private key from BEGIN to its END marker (no other marker between), or
+# without one over encryption headers and the lines of its base64 body, whose
+# last may be short.  Breaks may be escaped, quoted or marked as comments.
+_BREAK = r"""(?:\\[nrt]|[\s"',>#*|+])"""
+PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:"
+       r"[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,40}PRIVATE KEY-----|"
+       rf"(?:{_BREAK}*+(?:Proc-Type|DEK-Info|Content-Domain|Key-Info|Comment|Version)\x20*:(?:[^\r\n\\]|\\(?![nr]))*+)*+"
+       rf"(?:{_BREAK}*+[A-Za-z0-9+/]{{16,}}+={{0,2}})*+"
+       rf"(?:(?<=[A-Za-z0-9+/]{{16}}){_BREAK}++[A-Za-z0-9+/]{{1,15}}+(?:={{1,2}}|(?=[\x20\t]*(?:[\r\n\\\"']|\Z))))?)")
 MORE_RULES = (
-    Rule("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hints=("private key",)),
+    Rule("pem", PEM, hints=("private key",), version=2),
     Rule("hub", "gh[pousr]_[A-Za-z0-9]{36,}", hints=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", hints=("xox",)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]+", hints=("eyj",)),
