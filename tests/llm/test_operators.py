@@ -295,3 +295,18 @@ def test_private_keys_are_masked_whole(spark, folder):
     out = secrets.redact(df, folder + "/l").orderBy("doc_id").collect()
     for r, w in zip(out, want):
         assert r.text == w, r.doc_id
+
+
+def test_packing_ids_equal_the_tokenizers_file(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext |>", "<|endoftext|", "", None,
+             "Ünïcödé 🙂  \t\r\n 12345 it's", *[t for _, t, _ in EDGE]]
+    encode = packing.json_encoder()
+    assert encode(texts[0]) == [64, 220, 50256, 275]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {}
+    for r in packing.pack_documents(df).orderBy("doc_id", "start").collect():
+        got.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+    assert got == {i: [*encode(t or ""), packing.END_ID] for i, t in enumerate(texts)}
+    docs = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    ranks = packing.rank_encoder()
+    assert all(ranks(t) == encode(t) for t in docs)
