@@ -5,9 +5,10 @@ weight (1 + ln of its count) for or against each of 128 bits, by the bits of
 its hash.  The sign of the vote is the bit.
 
 ``search`` finds all fingerprints within a Hamming radius r: the bits are cut
-into r + 1 blocks, of which at least one must be equal, so every block of a
-query is looked up in a table of that block (one equi-join for all tables) and
-the distance is verified.  Only distinct fingerprints enter the tables.
+into four blocks of 32, of which at least one differs in r // 4 bits or less.
+So every block of a query, with each choice of so many bits flipped, is looked
+up in a table of that block (one equi-join for all tables) and the distance is
+verified.  Only distinct fingerprints enter the tables, once per block.
 
 ``with_next`` needs the next document in descending order of id.  Rows are
 ordered by a range shuffle, each task streams its rows, and only the first and
@@ -23,6 +24,7 @@ row is its own next.  An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 
 from obslake.llm.common import blocks, mix64, shingle_hashes, written
 
-BITS, WIDTH, RADIUS = 128, 2, 3
+BITS, WIDTH, RADIUS = 128, 2, 11
+BLOCK_BITS = 32
 EMPTY = "0" * (BITS // 4)
 
 
@@ -153,12 +156,15 @@ def search(queries: DataFrame, prints: DataFrame, *, radius: int = RADIUS) -> Da
     """(query_print, print, distance): every distinct fingerprint of ``prints``
     within ``radius`` of each distinct one of ``queries`` (columns
     ``fingerprint``, hex), itself included."""
-    edges = [BITS // 4 * i // (radius + 1) for i in range(radius + 2)]
-    if radius + 1 > BITS // 4:
-        raise ValueError("radius too large for blocks of four bits")
+    n_blocks = BITS // BLOCK_BITS
+    near = radius // n_blocks
+    if near > 3:
+        raise ValueError("radius too large for flips of a block")
+    flips = [sum(1 << i for i in c) for n in range(near + 1) for c in combinations(range(BLOCK_BITS), n)]
+    digits = BLOCK_BITS // 4
 
     def tables(df, name):
-        cuts = F.array(*[F.substring(name, a + 1, b - a) for a, b in zip(edges, edges[1:])])
+        cuts = F.array(*[F.conv(F.substring(name, digits * i + 1, digits), 16, 10).cast("long") for i in range(n_blocks)])
         return (df.select(F.col("fingerprint").alias(name)).where(F.col(name).isNotNull()).distinct()
                 .select(name, F.posexplode(cuts).alias("block", "value")))
 
@@ -166,6 +172,9 @@ def search(queries: DataFrame, prints: DataFrame, *, radius: int = RADIUS) -> Da
         return F.conv(F.substring(name, 16 * i + 1, 16), 16, -10).cast("long")
 
     distance = sum((F.bit_count(half("query_print", i).bitwiseXOR(half("print", i))) for i in range(BITS // 64)), F.lit(0))
-    pairs = tables(queries, "query_print").join(tables(prints, "print"), ["block", "value"])
+    probes = (tables(queries, "query_print").withColumn("flip", F.explode(F.array(*map(F.lit, flips)).cast("array<bigint>")))
+              .select("query_print", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value")))
+    # Spark takes the probes for small (it does not count the flips) and would broadcast them.
+    pairs = probes.join(tables(prints, "print").hint("merge"), ["block", "value"])
     return (pairs.withColumn("distance", distance).where(F.col("distance") <= radius)
             .select("query_print", "print", "distance").distinct())

@@ -310,3 +310,29 @@ def test_packing_ids_equal_the_tokenizers_file(spark):
     docs = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
     ranks = packing.rank_encoder()
     assert all(ranks(t) == encode(t) for t in docs)
+
+
+def word_edits(texts, n_words, seed=7):
+    """``texts`` with ``n_words`` words of each exchanged for new ones."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for t in texts:
+        words = t.split(" ")
+        for k in rng.choice(len(words), n_words, False):
+            words[k] = f"new{rng.integers(1 << 40)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_simhash_search_finds_edited_copies(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("text").where("text is not null").collect()
+    texts = [r.text for r in rows if len(r.text.split(" ")) >= 100]
+    before, after = simhash.fingerprints(texts), simhash.fingerprints(word_edits(texts, 1))
+    queries = spark.createDataFrame([(p,) for p in after], "fingerprint string")
+    prints = spark.createDataFrame([(p,) for p in before], "fingerprint string")
+    got = {(r.query_print, r["print"], r.distance) for r in simhash.search(queries, prints).collect()}
+    want = {(a, b, d) for a in after for b in before
+            if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= simhash.RADIUS}
+    assert got == want
+    found = {(a, b) for a, b, _ in got}
+    assert np.mean([(a, b) in found for a, b in zip(after, before)]) >= 0.9
