@@ -135,8 +135,9 @@ def scan(versions: DataFrame, ledger: str, *, text: str = "text",
          rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Scan what the ledger at path ``ledger`` has not seen; append to it.
 
-    Returns (blob, spans) of every blob in the ledger under these rules' kinds,
-    spans by start, then rule order."""
+    Returns (blob, spans) of every blob in the ledger under these rules'
+    versions, spans by start, then rule order.  The version of a span is that
+    of its kind among the versions of its row."""
     spark = versions.sparkSession
     ranks = {r.kind: i for i, r in enumerate(rules)}
     blobs = (versions.select(blob_of(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -152,10 +153,13 @@ def scan(versions: DataFrame, ledger: str, *, text: str = "text",
     scan_blobs(unseen, rules).write.mode("append").parquet(ledger)
     rows = read_ledger(spark, ledger)
     kinds = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])
+    keys = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.key)])
+    current = F.filter("spans", lambda s: F.coalesce(F.array_contains("versions", keys[s["kind"]]), F.lit(False)))
     # One row per blob and run: nearly always one row per blob.
-    return (rows.groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return (rows.select("blob", current.alias("spans"))
+            .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
             .select("blob", F.array_sort(F.transform(
-                F.filter("spans", lambda s: F.array_contains(F.map_keys(kinds), s["kind"])),
+                "spans",
                 lambda s: F.struct(s["start"].alias("start"), kinds[s["kind"]].alias("rank"),
                                    s["end"].alias("end"), s["kind"].alias("kind")))).alias("spans")))
 

@@ -336,3 +336,18 @@ def test_simhash_search_finds_edited_copies(spark):
     assert got == want
     found = {(a, b) for a, b, _ in got}
     assert np.mean([(a, b) in found for a, b in zip(after, before)]) >= 0.9
+
+
+def test_secrets_of_a_raised_version_replace_the_old_ones(spark, folder):
+    def spans(df, *rules):
+        found = secrets.findings(df, folder + "/l", rules=rules)
+        return sorted((r.doc_id, r.s) for r in found.select("doc_id", secrets.span_text(found.spans).alias("s")).collect())
+
+    old, other = secrets.Rule("x", "ab|cd"), secrets.Rule("y", "zz")
+    new = secrets.Rule("x", "ab|ef", version=2)
+    df = spark.createDataFrame([(1, "ab cd ef zz"), (2, "cd")], "doc_id long, text string")
+    assert spans(df, old, other) == [(1, "x:0:2,x:3:5,y:9:11"), (2, "x:0:2")]
+    more = df.unionByName(spark.createDataFrame([(3, "ef ab")], df.schema))
+    want = [(1, "x:0:2,x:6:8,y:9:11"), (2, ""), (3, "x:0:2,x:3:5")]
+    assert spans(more, new, other) == want
+    assert spans(more, new, other) == want      # nothing unseen
