@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obslake.llm import (decontaminate, langid, licenses, neardup, packing, secrets, simhash, toxicity,
-                         urls, warc)
+from obslake.llm import (conversations, decontaminate, langid, licenses, neardup, packing, secrets, sharding,
+                         simhash, spelling, toxicity, urls, warc)
 from obslake.llm.common import table, written
 from obslake.session import scratch_path
 
@@ -83,6 +83,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The law is ``rows``: a row's place follows from its number, not from its
+    key, so there is no ``grown_shard``."""
+    dealt = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_secret_scan,
     op2_warc,
@@ -94,4 +110,7 @@ QUERIES = {q.__name__: q for q in (
     op8_url_filters,
     op9_license_scan,
     op10_toxicity,
+    op11_conversation_repair,
+    op12_sharding,
+    op13_spelling_variants,
 )}
