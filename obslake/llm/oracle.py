@@ -186,7 +186,26 @@ SELECT found.word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS fo
 FROM found JOIN chase ON chase.word = found.word AND chase.next IS NULL
 """
 
+# Base32 of a SHA-1: 20 bits (five hex digits) are four characters.
+_WARC = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+),
+digests AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest
+  FROM sized
+),
+led AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS leader FROM digests)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> leader THEN leader END AS refers_to, TRUE AS intact
+FROM led
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc": _WARC,
     "op11_conversation_repair": _REPAIR,
     "op12_sharding": _SHARDING,
     "op13_spelling_variants": _SPELLING,

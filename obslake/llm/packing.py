@@ -2,15 +2,17 @@
 
 1. Documents become token ids and are cut every ``size`` tokens into pieces.
 2. The histogram of piece lengths (at most ``size`` rows) goes to the driver,
-   which places the lengths longest first: pieces of one length fill the open
-   packs with the fewest tokens (if they fit) or open new packs.  Packs of the
-   same content are one entry with a count, so the work depends on the number
-   of lengths, not of pieces.
+   which places the lengths longest first: each piece goes to the open pack
+   with the fewest tokens, or to a new pack where it does not fit.  Packs of the
+   same content are one entry with a count, so the work depends on the lengths
+   and ``size``, not on the number of pieces.
 3. The placements are joined back by rank: the i-th piece of a length takes
    the i-th place of that length.  Ranks are dealt in hashed groups with a
    prefix sum, so no task sees all pieces of a frequent length.
 
-Edge cases: null text is an empty text, which is the end token alone.
+Edge cases: null text is an empty text, which is the end token alone.  A text of
+any length is encoded whole (see ``rank_encoder`` for very long runs) and cut
+into pieces, of which a task holds some 16 MB at a time.
 Repeated rows and null ids are packed like any other.  An empty table gives an
 empty result.  A sequence is padded to ``size`` unless its tokens are a power
 of two in number (``padded_tokens``).
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import math
 import zlib
 from collections.abc import Callable
 
@@ -33,7 +36,7 @@ from obslake.llm.common import written
 SIZE = 2048
 END_ID = 1
 SPECIAL = {"<|endoftext|>": 50256}  # as in the vocabulary's ``tokenizers`` file
-GROUP_ROWS, MAX_GROUPS = 256, 4096  # a rank group aims at 256 rows; up to 4,096 groups a length
+LONG_RUN = 4096
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -42,19 +45,34 @@ def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
-def rank_encoder(path: str | None = None) -> Callable[[str], list[int]]:
+def rank_encoder(path: str | None = None, json_path: str | None = None) -> Callable[[str], list[int]]:
     """Encoder of the byte-level BPE vocabulary given as ranks.  Its ids are
     those of the same vocabulary's ``tokenizers`` file without added special
     tokens, where a special token that the text itself holds is one id (five
-    times as fast; the tests compare both)."""
+    times as fast; the tests compare both).
+
+    The pattern that splits a text backtracks over a run of white space, and a
+    run of letters is one piece; texts with a run of ``LONG_RUN`` characters of
+    a kind go through the ``tokenizers`` file itself."""
     import public_tokenizers
+    import regex
     import tiktoken
 
     with open(path or public_vocabulary(), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                  special_tokens=SPECIAL)
-    return lambda text: encoding.encode(text, allowed_special="all")
+    long_run = regex.compile(rf"\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
+    whole = None
+
+    def encode(text: str) -> list[int]:
+        nonlocal whole
+        if len(text) >= LONG_RUN and long_run.search(text):
+            whole = whole or json_encoder(json_path)
+            return whole(text)
+        return encoding.encode(text, allowed_special="all")
+
+    return encode
 
 
 def json_encoder(path: str | None = None) -> Callable[[str], list[int]]:
@@ -116,32 +134,32 @@ def place(histogram: dict[int, int], size: int = SIZE):
     open_packs: list[tuple[int, int, int]] = []    # heap of (tokens, first pack, count)
     closed: list[tuple[int, int, int]] = []
     n_packs = 0
+
+    def put_back(tokens: int, first: int, count: int) -> None:
+        if tokens == size:
+            closed.append((tokens, first, count))
+        elif count:
+            heapq.heappush(open_packs, (tokens, first, count))
+
     for length in sorted(histogram, reverse=True):
         left, rank, runs = histogram[length], 0, []
-        moved = []
-        while left:
-            if open_packs and open_packs[0][0] + length <= size:
-                tokens, first, count = heapq.heappop(open_packs)
-            else:
-                # What this length has filled is open to it again before a new pack is.
-                if moved and min(moved)[0] + length <= size:
-                    for pack in moved:
-                        heapq.heappush(open_packs, pack)
-                    moved = []
-                    continue
-                tokens, first, count = 0, n_packs, left
-                n_packs += left
+        # Packs of equal content take a piece each before any of them is the shortest again.
+        while left and open_packs and open_packs[0][0] + length <= size:
+            tokens, first, count = heapq.heappop(open_packs)
             used = min(left, count)
             runs.append((rank, first, tokens))
-            moved.append((tokens + length, first, used))
-            if used < count:
-                heapq.heappush(open_packs, (tokens, first + used, count - used))
+            put_back(tokens, first + used, count - used)
+            put_back(tokens + length, first, used)
             left, rank = left - used, rank + used
-        for pack in moved:
-            if pack[0] == size:
-                closed.append(pack)
-            else:
-                heapq.heappush(open_packs, pack)
+        # No open pack fits: new ones take pieces until they are full, the last what is left.
+        per = size // length
+        for packs_of, pieces_of in ((left // per, per), (1, left % per)):
+            if packs_of and pieces_of:
+                for k in range(pieces_of):
+                    runs.append((rank, n_packs, k * length))
+                    rank += packs_of
+                put_back(pieces_of * length, n_packs, packs_of)
+                n_packs += packs_of
         placements[length] = runs
     packs = sorted((first, count, tokens) for tokens, first, count in closed + open_packs)
     return placements, packs
@@ -152,7 +170,8 @@ def pack(cut: DataFrame, *, size: int = SIZE) -> DataFrame:
     ``offset``, ``sequence_tokens`` and ``padded_tokens``."""
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     placements, packs = place(counts, size)
-    groups = F.array(*[F.lit(min(MAX_GROUPS, -(-counts.get(n, 1) // GROUP_ROWS))) for n in range(size + 1)])
+    # As many rank groups a length as a group has rows: both grow as the square root.
+    groups = F.array(*[F.lit(math.isqrt(counts.get(n, 1) - 1) + 1) for n in range(size + 1)])
     dealt = cut.withColumn("rank_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"),
                                                 F.element_at(groups, F.col("length").cast("int") + 1)))
     before = Window.partitionBy("length").orderBy("rank_group").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,8 +12,12 @@ from obslake.session import scratch_path
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.findings(table(spark, sf_dir, "documents"),
-                             scratch_path(spark, "llm", "secret-ledger", unique=True))
+    """Two runs on one ledger, as when rows arrive in two loads: the second,
+    over all rows, scans only the blobs that the first did not see."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = scratch_path(spark, "llm", "secret-ledger", unique=True)
+    secrets.scan(docs.where(F.xxhash64("doc_id") > 0), ledger)
+    found = secrets.findings(docs, ledger)
 
     def n(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

@@ -15,8 +15,10 @@ sum over the lengths of gaps and matches gives each match's code points.
 
 Edge cases: null text is an empty text without spans.  Equal texts share a
 blob; repeated rows and null ids get their spans each.  A blob without a
-finding is in the ledger with no span, so it is not scanned again.  An empty
-table gives an empty result.
+finding is in the ledger with no span, so it is not scanned again.  A blob that
+two runs scanned has its spans once.  A text of any length is scanned whole, by
+expressions that pass over it once for each rule; masking is one more pass,
+however many spans there are.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -155,13 +157,16 @@ def scan(versions: DataFrame, ledger: str, *, text: str = "text",
     kinds = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])
     keys = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.key)])
     current = F.filter("spans", lambda s: F.coalesce(F.array_contains("versions", keys[s["kind"]]), F.lit(False)))
-    # One row per blob and run: nearly always one row per blob.
+    # One row per blob and run: nearly always one row per blob.  Runs that scanned the
+    # same blob (at the same time, or again after a lost commit) found the same spans.
     return (rows.select("blob", current.alias("spans"))
             .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-            .select("blob", F.array_sort(F.transform(
+            .select("blob", F.sort_array(F.transform(
                 "spans",
                 lambda s: F.struct(s["start"].alias("start"), kinds[s["kind"]].alias("rank"),
-                                   s["end"].alias("end"), s["kind"].alias("kind")))).alias("spans")))
+                                   s["end"].alias("end"), s["kind"].alias("kind")))).alias("spans"))
+            # Equal spans are neighbours now (array_distinct compares each struct with each).
+            .select("blob", F.filter("spans", lambda s, i: (i == 0) | (s != F.get("spans", i - 1))).alias("spans")))
 
 
 def findings(versions: DataFrame, ledger: str, *, doc_id: str = "doc_id", text: str = "text",
@@ -178,35 +183,59 @@ def span_text(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """``text`` with every span replaced by ``mask`` (touching or overlapping
-    spans by one)."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def merged(spans: DataFrame) -> DataFrame:
+    """(blob, cuts) of (blob, spans): ``cuts`` are the stretches (start, end)
+    that touching or overlapping spans cover, in order."""
+    each = spans.select("blob", F.inline("spans"))
+    order = Window.partitionBy("blob").orderBy("start", "end")
+    ahead = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = each.withColumn("apart", F.coalesce(F.col("start") > ahead, F.lit(True)).cast("int"))
+    return (apart.withColumn("cut", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("blob", "cut").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+            .groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")))
 
-    def step(acc, s):
-        gap = text.substr(acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
-        fresh = F.struct(s["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mask)).alias("out"))
-        wider = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        overlap = (s["start"] <= acc["at"]) & (acc["at"] > 0)
-        return F.when(overlap, wider).otherwise(fresh)
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(
-        acc["out"], text.substr(acc["at"].cast("int") + 1, F.length(text))))
+CHUNK = 1024   # code points; a substring is found by counting from the start of its chunk
+
+
+def masked(rows: DataFrame, text: str, cuts: str, out: str, mask: str = "[SECRET]") -> DataFrame:
+    """``rows`` with ``out``: ``text`` with each of ``cuts`` replaced by
+    ``mask`` (null where there are none).  The text is chunked once, so the work
+    is the length of the text plus a chunk for each cut."""
+    some = F.col(cuts).isNotNull()
+    chunks, gaps = "_obslake_chunks", "_obslake_gaps"
+    body = F.col(text)
+    rows = (rows.withColumn(chunks, F.when(some, F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))))
+            .withColumn(gaps, F.when(some, F.arrays_zip(
+                F.concat(F.array(F.lit(0).cast("long")), F.transform(cuts, lambda c: c["end"])).alias("a"),
+                F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.length(body).cast("long"))).alias("b")))))
+
+    def gap(g: Column) -> Column:
+        a, b = g["a"], g["b"]
+        first, last = F.floor(a / CHUNK).cast("int"), F.floor(b / CHUNK).cast("int")
+        at = (a % CHUNK + 1).cast("int")
+        head = F.get(F.col(chunks), first)
+        return F.when(first == last, F.coalesce(head.substr(at, (b - a).cast("int")), F.lit(""))).otherwise(F.concat(
+            head.substr(at, F.lit(CHUNK)), F.array_join(F.slice(F.col(chunks), first + 2, last - first - 1), ""),
+            F.coalesce(F.get(F.col(chunks), last).substr(F.lit(1), (b % CHUNK).cast("int")), F.lit(""))))
+
+    return rows.withColumn(out, F.array_join(F.transform(gaps, gap), mask)).drop(chunks, gaps)
 
 
 def redact(docs: DataFrame, ledger: str, *, text: str = "text",
            rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All rows and columns of ``docs``, secrets in the text masked (null stays
     null); ``n_chars``, if there, follows the text."""
-    spans = written(scan(docs, ledger, text=text, rules=rules).where(F.size("spans") > 0)
-                    .select(F.col("blob").alias("_obslake_blob"), F.col("spans").alias("_obslake_spans")),
-                    "secrets-spans")
+    # Written before it is filtered: a filter pushed into the scan's array expressions would repeat them for each span.
+    found = written(scan(docs, ledger, text=text, rules=rules), "secrets-spans")
+    spans = written(merged(found.where(F.size("spans") > 0))
+                    .select(F.col("blob").alias("_obslake_blob"), F.col("cuts").alias("_obslake_cuts")),
+                    "secrets-cuts")
     keyed = docs.withColumn("_obslake_blob", blob_of(text))
-    found = keyed.join(spans, "_obslake_blob", "left")
-    clean = F.when(F.col("_obslake_spans").isNotNull(), redacted(F.col(text), F.col("_obslake_spans"))).otherwise(F.col(text))
-    out = found.withColumn(text, clean)
+    found = masked(keyed.join(spans, "_obslake_blob", "left"), text, "_obslake_cuts", "_obslake_clean")
+    out = found.withColumn(text, F.coalesce("_obslake_clean", F.col(text)))
     if "n_chars" in docs.columns:
-        changed = F.col("_obslake_spans").isNotNull()
+        changed = F.col("_obslake_cuts").isNotNull()
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(changed, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

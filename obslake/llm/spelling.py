@@ -76,30 +76,36 @@ def _without(word: Column, at: Column, q: Column) -> Column:
     return F.concat(word.substr(F.lit(1), at), word.substr(at + q + 1, F.length(word)))
 
 
+def _key(length: Column, chunk: int, letters: Column) -> Column:
+    return F.xxhash64(length, F.lit(chunk), letters)
+
+
 def _chunks(words: DataFrame) -> DataFrame:
-    """(word, key, rest): two chunks a word."""
+    """(word, key, at, q): two chunks a word, with their place and length."""
     size, q = F.length("word"), F.floor(F.length("word") / 2).cast("int")
-    rows = [F.struct(F.xxhash64(size, F.lit(c), _cut(F.col("word"), q * c, q)).alias("key"),
-                     _without(F.col("word"), q * c, q).alias("rest")) for c in (0, 1)]
-    return words.select("word", F.explode(F.array(*rows)).alias("e")).select("word", "e.key", "e.rest")
+    rows = [F.struct(_key(size, c, _cut(F.col("word"), q * c, q)).alias("key"), (q * c).alias("at"), q.alias("q"))
+            for c in (0, 1)]
+    return words.select("word", F.inline(F.array(*rows)))
 
 
 def _grams(words: DataFrame) -> DataFrame:
-    """(word, key, rest, k, longer): grams where a chunk of a word of the same
+    """(word, key, at, q, k, longer): grams where a chunk of a word of the same
     length, or of one letter less (``longer``), may be; ``k`` is 2 * chunk +
-    shift.  Of two equal keys the one of the smaller shift stays."""
+    shift.  A shifted gram of the same letters as the unshifted one is left out."""
     word, size = F.col("word"), F.length("word")
 
     def gram(longer: bool, c: int, shift: int) -> Column:
         length = size - 1 if longer else size
         q = F.floor(length / 2).cast("int")
         at = q * c + shift
-        return F.struct(F.xxhash64(length, F.lit(c), _cut(word, at, q)).alias("key"), _without(word, at, q).alias("rest"),
-                        F.lit(2 * c + shift).alias("k"), F.lit(longer).alias("longer"))
+        key = _key(length, c, _cut(word, at, q))
+        if shift:
+            key = F.when(_cut(word, at, q) != _cut(word, at - 1, q), key)
+        return F.struct(key.alias("key"), at.alias("at"), q.alias("q"), F.lit(2 * c + shift).alias("k"),
+                        F.lit(longer).alias("longer"))
 
     rows = F.array(gram(False, 0, 0), gram(False, 1, 0), *[gram(True, c, shift) for c in (0, 1) for shift in (0, 1)])
-    fresh = F.filter(rows, lambda x, i: ~F.exists(F.slice(rows, F.lit(1), i), lambda y: y["key"] == x["key"]))
-    return words.select("word", F.explode(fresh).alias("e")).select("word", "e.*")
+    return words.select("word", F.inline(rows)).where("key is not null")
 
 
 def _first_shared(u: Column, v: Column) -> Column:
@@ -129,24 +135,27 @@ def near_pairs(words: DataFrame, *, spread: int = SPREAD) -> DataFrame:
             .join(grams.groupBy("key").agg(F.count("*").alias("b")), "key")
             .where(F.col("a") * F.col("b") > spread * (F.col("a") + F.col("b"))).select("key"))
     busy = written(busy.withColumn("busy", F.lit(True)), "spelling-busy")
-    chunks = chunks.join(busy, "key", "left")
-    grams = grams.join(busy, "key", "left")
+    chunks, grams = chunks.join(busy, "key", "left"), grams.join(busy, "key", "left")
 
     few = (chunks.where("busy is null").select("key", F.col("word").alias("u"))
            .join(grams.where("busy is null").select("key", "k", F.col("word").alias("v")), "key"))
 
-    def without_each(rest: Column) -> Column:
-        """(place, rest without the letter there) at every place."""
-        return F.transform(F.sequence(F.lit(0), F.length(rest) - 1), lambda i: F.struct(
-            i.alias("at"), F.concat(rest.substr(F.lit(1), i), rest.substr(i + 2, F.length(rest))).alias("rest")))
-
-    rest = F.col("rest")
-    replaced = F.transform(without_each(rest), lambda x: F.xxhash64(x["at"], x["rest"]))
-    inserted = F.array_distinct(F.transform(without_each(rest), lambda x: F.xxhash64(F.lit(-1), x["rest"])))
-    many_u = chunks.where("busy").select("key", F.col("word").alias("u"), F.explode(
-        F.concat(replaced, F.array(F.xxhash64(F.lit(-1), rest)))).alias("variant"))
-    many_v = grams.where("busy").select("key", "k", F.col("word").alias("v"), F.explode(
-        F.when(F.col("longer"), inserted).otherwise(replaced)).alias("variant"))
+    # The rest of the word with one letter left out: (place, letters) where both are
+    # equally long; -1 and the letters where one has a letter more (once for a run of equal letters).
+    def placed(rows: DataFrame, first: int) -> DataFrame:
+        rest = _without(F.col("word"), F.col("at"), F.col("q"))
+        return (rows.withColumn("rest", rest)
+                .withColumn("i", F.explode(F.sequence(F.lit(first), F.length("rest") - 1))))
+
+    def without(i: Column) -> Column:
+        return F.concat(F.col("rest").substr(F.lit(1), i), F.col("rest").substr(i + 2, F.length("rest")))
+
+    i, last = F.col("i"), F.lit(-1)
+    many_u = placed(chunks.where("busy"), -1).select("key", F.col("word").alias("u"), F.when(
+        i < 0, F.xxhash64(last, "rest")).otherwise(F.xxhash64(i, without(i))).alias("variant"))
+    fresh = ~F.col("longer") | (i == 0) | (F.col("rest").substr(i, F.lit(1)) != F.col("rest").substr(i + 1, F.lit(1)))
+    many_v = placed(grams.where("busy"), 0).where(fresh).select("key", "k", F.col("word").alias("v"), F.xxhash64(
+        F.when(F.col("longer"), last).otherwise(i), without(i)).alias("variant"))
     many = many_u.join(many_v, ["key", "variant"]).select("u", "v", "k")
     return _verified(few.select("u", "v", "k").unionByName(many))
 
@@ -156,7 +165,9 @@ def variants(words: DataFrame, *, ratio: int = RATIO, spread: int = SPREAD) -> D
 
     ``form`` is the near word of largest n (ties: the smallest), if that n is
     at least ``ratio`` times the word's; ``root`` follows the forms to the last."""
-    words = written(words.select("word", "n"), "spelling-words")
+    # A word becomes up to forty rows below: spread the words over the tasks first.
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = written(words.select("word", "n").repartition(parts, "word"), "spelling-words")
     pairs = written(near_pairs(words.select("word"), spread=spread), "spelling-pairs")
     counts = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
     both = pairs.select(F.explode(F.array(F.struct(F.col("u").alias("word"), F.col("v").alias("other")),

@@ -12,10 +12,12 @@ rows bounded by ``max_fit_rows`` per class; the optimiser then works on at most
 ``2 * max_fit_rows`` rows of at most ``max_features`` features.
 Score: every whole text, in Arrow batches, one lookup per word.
 
-Edge cases: null text is an empty text and scores the intercept.  With no
+Edge cases: null text is an empty text and scores the intercept.  A text of any
+length is scored whole; its sentences add to one matrix of fixed size.  With no
 usable labels, or labels of one class, the score is the smoothed label rate
 (0.5 without labels).  Labels other than 0 and 1, null labels and null ids
-are not learned from.  Repeated rows are scored each.  An empty table gives an
+are not learned from.  Repeated rows are scored each and learned from once.  A
+score of exactly the threshold counts as toxic.  An empty table gives an
 empty result.
 """
 
@@ -93,7 +95,8 @@ def swaps(groups=IDENTITY_GROUPS) -> dict[str, str]:
 def fit_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
                max_fit_rows: int) -> DataFrame:
     """(label, text) of at most ``max_fit_rows`` training rows of each class,
-    those with the smallest hash of their id."""
+    those with the smallest hash of their id; one row per id and label (of
+    rows with equal ids, the smallest text)."""
     usable = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
               .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~is_held_out("id"))
               .distinct())
@@ -103,7 +106,7 @@ def fit_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label
     ids = F.broadcast(picked[0].unionByName(picked[1]))
     rows = docs.select(F.col(doc_id).alias("id"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.join(ids, "id").select("label", "text")
+    return rows.join(ids, "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")
 
 
 def word_stats(sample: DataFrame) -> DataFrame:
@@ -129,57 +132,88 @@ def word_stats(sample: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
 
 
-def sample_features(sample: DataFrame, vocabulary: np.ndarray, groups) -> DataFrame:
-    """(label, features, pairs) of each sample row; ``pairs`` holds one array
-    [from, to, from, to, ...] for each sentence that names a group."""
-    swap = swaps(groups)
-    index = {int(w): i for i, w in enumerate(vocabulary)}
-    at = {t: index[int(word_hashes([t])[0][0])] for t in swap}
-    named = np.array(sorted(at.values()), dtype=np.int64)
-    term = re.compile(r"\b(" + "|".join(sorted(swap, key=len, reverse=True)) + r")\b") if swap else None
+def sample_features(sample: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """(label, features) of each sample row."""
 
     def extract(batches):
         for pdf in batches:
-            texts = pdf["text"].tolist()
-            feats, pairs = [], []
+            texts, feats = pdf["text"].tolist(), []
             for a, b in blocks(texts):
                 doc, feature = known_words(texts[a:b], vocabulary)
-                cut = np.searchsorted(doc, np.arange(b - a + 1))
-                for i in range(b - a):
-                    own = feature[cut[i]:cut[i + 1]]
-                    feats.append(own.tolist())
-                    found = []
-                    if len(named) and np.isin(own, named).any():
-                        for sentence in SENTENCE_END.split(texts[a + i].lower()):
-                            if terms := sorted(set(term.findall(sentence))):
-                                found.append([x for t in terms for x in (at[t], at[swap[t]])])
-                    pairs.append(found)
-            yield pd.DataFrame({"label": pdf["label"], "features": feats, "pairs": pairs})
-
-    return sample.mapInPandas(extract, "label int, features array<int>, pairs array<array<int>>")
-
-
-def fit_weights(y: np.ndarray, row: np.ndarray, col: np.ndarray, n_features: int,
-                pair: np.ndarray, change: np.ndarray, sign: np.ndarray, *,
-                l2: float, counterfactual: float, steps: int) -> tuple[np.ndarray, float]:
-    """Full-batch Adam on log loss + l2 |w|^2 + counterfactual * mean squared
-    logit change of the swapped sentences.
-
-    (row, col) are the set features; (pair, change, sign) say that sentence
-    ``pair`` changes feature ``change`` by ``sign`` when its terms are swapped.
-    """
-    w, b, n = np.zeros(n_features), 0.0, max(1, len(y))
-    n_pairs = int(pair.max()) + 1 if len(pair) else 0
+                feats += [x.tolist() for x in np.split(feature, np.searchsorted(doc, np.arange(1, b - a)))]
+            yield pd.DataFrame({"label": pdf["label"], "features": feats})
+
+    return sample.mapInPandas(extract, "label int, features array<int>")
+
+
+def swap_matrix(sample: DataFrame, groups=IDENTITY_GROUPS) -> tuple[list[str], np.ndarray, int]:
+    """(terms, M, sentences): each sentence of the sample that names a group
+    changes term features by a vector s (-1: gone, +1: new) when its terms are
+    swapped; M is the sum of s s' over these sentences, so that w' M w is the
+    sum of the squared logit changes.  M is as large as the terms, however many
+    sentences a text has."""
+    swap = swaps(groups)
+    terms = sorted(swap)
+    if not terms:
+        return [], np.zeros((0, 0)), 0
+    at = {t: i for i, t in enumerate(terms)}
+    pattern = re.compile(r"\b(" + "|".join(sorted(terms, key=len, reverse=True)) + r")\b")
+    size = len(terms)
+
+    def add_up(batches):
+        m, n = np.zeros((size, size)), 0
+        for pdf in batches:
+            for text in pdf["text"]:
+                for sentence in SENTENCE_END.split(text.lower()):
+                    if found := set(pattern.findall(sentence)):
+                        s = np.zeros(size)
+                        for t in found:
+                            s[at[t]] -= 1
+                            s[at[swap[t]]] += 1
+                        m += np.outer(s, s)
+                        n += 1
+        i, j = np.nonzero(m)
+        yield pd.DataFrame({"i": [*i, -1], "j": [*j, -1], "x": [*m[i, j], n]})
+
+    parts = (sample.select("text").mapInPandas(add_up, "i int, j int, x double")
+             .groupBy("i", "j").agg(F.sum("x").alias("x")).collect())
+    m, n = np.zeros((size, size)), 0
+    for r in parts:
+        if r["i"] < 0:
+            n = int(r["x"])
+        else:
+            m[r["i"], r["j"]] = r["x"]
+    return terms, m, n
+
+
+def loss(w: np.ndarray, b: float, y: np.ndarray, row: np.ndarray, col: np.ndarray, named: np.ndarray,
+         swapped: np.ndarray, n_swapped: int, l2: float, counterfactual: float) -> tuple[float, np.ndarray, float]:
+    """Mean log loss + l2 |w|^2 + counterfactual * mean squared logit change of
+    the swapped sentences, and its gradient by ``w`` and ``b``.
+
+    (row, col) are the set features; ``swapped`` is the matrix of
+    ``swap_matrix`` over the features ``named``."""
+    z = b + np.bincount(row, w[col], minlength=len(y))
+    n = max(1, len(y))
+    error = (1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - y) / n
+    grad = np.bincount(col, error[row], minlength=len(w)) + 2 * l2 * w
+    value = float(np.sum(np.logaddexp(0, z) - y * z)) / n + l2 * float(w @ w)
+    if n_swapped:
+        pull = swapped @ w[named] * (counterfactual / n_swapped)
+        value += float(w[named] @ pull)
+        np.add.at(grad, named, 2 * pull)
+    return value, grad, float(error.sum())
+
+
+def fit_weights(y: np.ndarray, row: np.ndarray, col: np.ndarray, n_features: int, named: np.ndarray,
+                swapped: np.ndarray, n_swapped: int, *, l2: float, counterfactual: float,
+                steps: int) -> tuple[np.ndarray, float]:
+    """Full-batch Adam on ``loss``."""
+    w, b = np.zeros(n_features), 0.0
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, steps + 1):
-        z = b + np.bincount(row, w[col], minlength=len(y))
-        error = (1.0 / (1.0 + np.exp(-z)) - y) / n
-        grad = np.bincount(col, error[row], minlength=n_features) + 2 * l2 * w
-        if n_pairs:
-            delta = np.bincount(pair, sign * w[change], minlength=n_pairs)
-            grad += np.bincount(change, 2 * counterfactual / n_pairs * sign * delta[pair],
-                                minlength=n_features)
-        g = np.append(grad, error.sum())
+        _, grad, by_b = loss(w, b, y, row, col, named, swapped, n_swapped, l2, counterfactual)
+        g = np.append(grad, by_b)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -208,18 +242,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     chosen = (word_stats(sample).where(F.col("n0") + F.col("n1") >= min_docs)
               .withColumn("chi2", chi2).where(F.col("chi2") >= min_chi2)
               .orderBy(F.desc("chi2"), "word").limit(max_features).select("word").collect())
-    terms = [int(word_hashes([t])[0][0]) for t in swaps(groups)]
-    vocabulary = np.unique(np.array([r["word"] & (1 << 64) - 1 for r in chosen] + terms, dtype=np.uint64))
-    rows = sample_features(sample, vocabulary, groups).toPandas()
+    terms, swapped, n_swapped = swap_matrix(sample, groups)
+    hashes = np.array([int(word_hashes([t])[0][0]) for t in terms], dtype=np.uint64)
+    words = np.array([r["word"] & (1 << 64) - 1 for r in chosen], dtype=np.uint64)
+    vocabulary = np.unique(np.concatenate([words, hashes]))
+    rows = sample_features(sample, vocabulary).toPandas()
     y = rows["label"].to_numpy(float)
-    lens = rows["features"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(rows)), lens)
+    row = np.repeat(np.arange(len(rows)), rows["features"].map(len).to_numpy())
     col = np.concatenate([np.asarray(f, np.int64) for f in rows["features"]] or [np.zeros(0, np.int64)])
-    sentences = [s for p in rows["pairs"] for s in p]
-    pair = np.repeat(np.arange(len(sentences)), [len(s) for s in sentences]).astype(np.int64)
-    change = np.array([x for s in sentences for x in s], dtype=np.int64)
-    sign = np.tile([-1.0, 1.0], len(change) // 2)
-    w, b = fit_weights(y, row, col, len(vocabulary), pair, change, sign,
+    w, b = fit_weights(y, row, col, len(vocabulary), np.searchsorted(vocabulary, hashes), swapped, n_swapped,
                        l2=l2, counterfactual=counterfactual, steps=steps)
     return ToxicityModel(vocabulary, w, b)
 

@@ -13,14 +13,19 @@ line, whether it starts a record or lies in a payload.
    before it turn places into offsets of the file.
 2. Pointer jumping over (file, offset, successor) doubles the reach of the
    chain from offset 0 in each round.  Only reached candidates are records;
-   magic lines inside payloads are never reached.
-3. Payloads that hold magic lines were cut: their parts are read again and put
-   together per record.
-
-The chain of a file must end at its length; files for which it does not are
-reported by ``broken_files``.
-
-Edge cases: null html is an empty payload; a null id is written as such, and
+   magic lines inside payloads are never reached.  A round writes what it newly
+   reaches and the jumps that still lead to a candidate.
+3. Payloads that hold magic lines were cut: the files that have such records are
+   read again into one table, whose own splits give the offsets anew, and the
+   parts are put together per record.  So splits may differ between the reads.
+
+The chain of a file must end at its length: ``read_archives`` raises an error
+that names files for which it does not (``broken="keep"`` returns what was
+reached; ``broken_files`` lists them).  It also raises one if a record can't be
+put together.
+
+Edge cases: a text of any length is one record, held once by the task that reads
+it; null html is an empty payload; a null id is written as such, and
 its row is a response only if no row with an id has its payload (all such
 rows then are).  Rows with equal id and payload have the type of their id.
 Control characters and spaces in URLs are percent-encoded, null URLs have no
@@ -58,9 +63,11 @@ def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).alias("url"),
                         F.coalesce(F.col(html), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", base32_sha1(F.col("html")))
-    leaders = rows.groupBy("digest").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    # Only payloads that occur more than once meet the leaders; a hot one is split by the skew join.
-    keyed = rows.join(leaders.select("digest", "leader"), "digest", "left")
+    # Ids and digests alone find the leaders; as a written table their size is known, so
+    # that few of them are broadcast and the payloads stay where they are.
+    leaders = written(rows.groupBy("digest").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
+                      .where("n > 1").select("digest", "leader"), "warc-leaders")
+    keyed = rows.join(leaders, "digest", "left")
     revisit = F.col("leader").isNotNull() & ~F.col("id").eqNullSafe(F.col("leader"))
 
     def urn(c):
@@ -167,9 +174,22 @@ def _described(segment: bytes):
             _text(fields, b"warc-refers-to"), size, digest, stated)
 
 
+def _bases(sizes: DataFrame) -> DataFrame:
+    """(file, block, base) of a table (file, block, size): the bytes of the
+    splits before; one row per split, a few per file."""
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return (sizes.groupBy("file", "block").agg(F.sum("size").alias("n"))
+            .select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+
+
+# The first segment of a file is what stands before its first magic line: its end is offset 0.
+OFFSET = f"base + place - {len(MAGIC)}"
+
+
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """One row per segment: (file, offset of its magic line, successor, the
-    record's fields); the successor is null where no header follows."""
+    record's fields); the successor is null where no header follows.  ``fid``
+    is a number for the file."""
 
     def scan(batches):
         for pdf in _placed(batches):
@@ -181,82 +201,94 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
             yield out
 
     table = written(_segments(spark, path).mapInPandas(scan, CANDIDATE), "warc-candidates")
-    # The bytes of the splits before: one row per split, a few per file.
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (table.groupBy("file", "block").agg(F.sum("size").alias("n"))
-             .select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    # The first segment of a file is what stands before its first magic line: its end is offset 0.
-    offset = F.col("base") + F.col("place") - len(MAGIC)
+    files = written(table.select("file").distinct(), "warc-files").withColumn("fid", F.monotonically_increasing_id())
+    bases = written(_bases(table).join(files, "file"), "warc-bases")
     return (table.join(bases, ["file", "block"])
-            .select("file", "block", "place", offset.alias("offset"), (offset + F.col("claim")).alias("next"),
+            .select("file", "fid", F.expr(OFFSET).alias("offset"), F.expr(f"{OFFSET} + claim").alias("next"),
                     F.col("total").alias("file_size"), "type", "id", "refers", "payload_bytes", "digest", "stated"))
 
 
 def chain(found: DataFrame) -> DataFrame:
-    """(file, offset) of the candidates reached from the start of each file."""
-    known = written(found.where("offset >= 0 and next is not null")
-                    .select("file", "offset", "next"), "warc-links")
-    jump = known
-    reached = known.where("offset = 0").select("file", "offset")
-    total = reached.count()
+    """(fid, offset) of the candidates reached from the start of each file.
+
+    ``jump`` leads 2^k records on.  Offsets only grow along a chain, so what a
+    round reaches was not reached before."""
+    known = written(found.where("offset >= 0 and next is not null").select("fid", "offset", "next"), "warc-links")
+    at = known.select("fid", F.col("offset").alias("next"))
+    jump = written(known.join(at, ["fid", "next"], "left_semi").select("fid", "offset", "next"), "warc-jumps")
+    reached = known.where("offset = 0").select("fid", "offset")
     while True:
-        ahead = reached.join(jump, ["file", "offset"]).select("file", F.col("next").alias("offset"))
-        reached = written(reached.unionByName(ahead.join(known, ["file", "offset"], "left_semi")).distinct(),
-                          "warc-reached")
-        now = reached.count()
-        if now == total:
+        ahead = written(reached.join(jump, ["fid", "offset"]).select("fid", F.col("next").alias("offset")),
+                        "warc-reached")
+        if ahead.isEmpty():
             return reached
-        total = now
-        up = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("up"))
-        jump = written(jump.join(up, ["file", "next"]).select("file", "offset", F.col("up").alias("next")), "warc-jumps")
+        reached = reached.unionByName(ahead)
+        up = jump.select("fid", F.col("offset").alias("next"), F.col("next").alias("up"))
+        jump = written(jump.join(up, ["fid", "next"]).select("fid", "offset", F.col("up").alias("next")), "warc-jumps")
 
 
 def broken_files(found: DataFrame, reached: DataFrame) -> DataFrame:
     """(file): archives whose chain does not end at their length."""
-    ends = (found.join(reached, ["file", "offset"], "left_semi").where("next = file_size").select("file").distinct())
-    return found.where("file_size > 0").select("file").distinct().join(ends, "file", "left_anti")
+    ends = (found.where("next = file_size").join(reached, ["fid", "offset"], "left_semi").select("fid").distinct())
+    return found.where("file_size > 0").select("file", "fid").distinct().join(ends, "fid", "left_anti").select("file")
 
 
-def _whole(spark: SparkSession, path: str, found: DataFrame, reached: DataFrame, cut: DataFrame) -> DataFrame:
-    """(file, offset, payload_bytes, digest) of the ``cut`` records."""
-    mark = reached.withColumn("owner", F.col("offset"))
-    before = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    owned = (found.where("offset >= 0").select("file", "block", "place", "offset")
-             .join(mark, ["file", "offset"], "left")
-             .withColumn("owner", F.last("owner", ignorenulls=True).over(before))
-             .join(cut.select("file", F.col("offset").alias("owner")), ["file", "owner"], "left_semi"))
+def _whole(spark: SparkSession, path: str, kept: DataFrame, cut: DataFrame) -> DataFrame:
+    """(fid, offset, whole_bytes, whole_digest) of the ``cut`` records."""
+    files = cut.select("file", "fid").distinct()
 
     def place(batches):
         for pdf in _placed(batches):
-            yield pdf[["file", "block", "place", "value"]]
-
-    parts = (_segments(spark, path).mapInPandas(place, "file string, block long, place long, value binary")
-             .join(owned, ["file", "block", "place"]))
+            yield pdf.assign(size=pdf["value"].map(len) + len(MAGIC))[["file", "block", "place", "size", "value"]]
+
+    # One table of one read: places, sizes and bytes belong to the same splits.
+    parts = written(_segments(spark, path).mapInPandas(
+        place, "file string, block long, place long, size long, value binary")
+        .join(written(files, "warc-cut-files"), "file"), "warc-parts")
+    mark = kept.select("fid", "offset", F.col("offset").alias("owner"))
+    before = Window.partitionBy("fid").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
+    places = (parts.select("file", "fid", "block", "place").join(_bases(parts), ["file", "block"])
+              .withColumn("offset", F.expr(OFFSET)).where("offset >= 0"))
+    owned = (places.join(mark, ["fid", "offset"], "left")
+             .withColumn("owner", F.last("owner", ignorenulls=True).over(before))
+             .join(cut.select("fid", F.col("offset").alias("owner")), ["fid", "owner"], "left_semi")
+             .select("file", "block", "place", "offset", "owner"))
 
     def join_up(pdf):
         pdf = pdf.sort_values("offset")
         _, _, _, _, size, digest, _ = _described(MAGIC.encode().join(pdf["value"]))
-        return pd.DataFrame({"file": [pdf["file"].iloc[0]], "offset": [pdf["owner"].iloc[0]],
+        return pd.DataFrame({"fid": [pdf["fid"].iloc[0]], "offset": [pdf["owner"].iloc[0]],
                              "whole_bytes": pd.array([size], dtype="Int64"), "whole_digest": [digest]})
 
     # A group is the parts of one record.
-    return parts.groupBy("file", "owner").applyInPandas(
-        join_up, "file string, offset long, whole_bytes long, whole_digest string")
+    return (parts.join(owned, ["file", "block", "place"]).groupBy("fid", "owner")
+            .applyInPandas(join_up, "fid long, offset long, whole_bytes long, whole_digest string"))
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, *, broken: str = "raise") -> DataFrame:
     """(file, offset, page_id, payload_bytes, payload_digest, record_type,
     refers_to, intact) of every record on the chains; ids are strings,
-    ``intact`` says that the payload has the stated digest."""
+    ``intact`` says that the payload has the stated digest.
+
+    ``broken="raise"``: a chain that doesn't reach the end of its file is an
+    error; ``"keep"``: its records up to the break are returned."""
     found = candidates(spark, path)
     reached = chain(found)
-    kept = written(found.join(reached, ["file", "offset"], "left_semi"), "warc-records")
+    if broken == "raise":
+        names = [r["file"] for r in broken_files(found, reached).limit(5).collect()]
+        if names:
+            raise ValueError("the chain of records does not reach the end of " + ", ".join(names))
+    kept = written(found.join(reached, ["fid", "offset"], "left_semi"), "warc-records")
     cut = kept.where("digest is null")
     if not cut.isEmpty():
-        whole = written(_whole(spark, path, found, reached, cut), "warc-whole")
-        kept = (kept.join(whole, ["file", "offset"], "left")
+        whole = written(_whole(spark, path, kept, cut), "warc-whole")
+        kept = (kept.join(whole, ["fid", "offset"], "left")
                 .withColumn("payload_bytes", F.coalesce("payload_bytes", "whole_bytes"))
                 .withColumn("digest", F.coalesce("digest", "whole_digest")))
+        if broken == "raise":
+            lost = cut.join(whole.where("whole_digest is not null"), ["fid", "offset"], "left_anti").count()
+            if lost:
+                raise ValueError(f"{lost} records whose payloads hold magic lines could not be put together")
 
     def plain(c):
         value = F.regexp_extract(c, "^<urn:page:(.*)>$", 1)
