@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +19,10 @@ from pyspark.sql import functions as F
 from obslake.functions.expr import (
     batch_key, day_key, day_of_batch, document_key, json_text, map_text, pct_text, sorted_map,
 )
+from obslake.modeling.expression import label_index, prediction
 from obslake.modeling.report import read_reports, score_report
 from obslake.modeling import stages as ml
-from obslake.operators import metrics, quality, split
+from obslake.operators import incremental, metrics, quality, ranks, split
 from obslake.operators.flatten import flatten
 from obslake.plans import standins as si
 from obslake.session import scratch_path
@@ -101,6 +104,16 @@ def q_complete_batches_strict(spark, sf_dir):
     return quality.complete_batches(si.event_readings(spark, sf_dir), N, strict=True)
 
 
+def q_complete_batches_incremental(spark, sf_dir):
+    """AGG-6 from bitmaps kept per day: three loads that overlap by a day."""
+    r = si.event_readings(spark, sf_dir).select("date", "city")
+    state = scratch_path(spark, "state", "completeness", unique=True)
+    for rows in (r.where("date < '2024-01-12'"), r.where("date >= '2024-01-11' and date < '2024-01-22'"),
+                 r.where("date >= '2024-01-21' or date is null")):
+        incremental.merge_completeness(rows, state)
+    return incremental.complete_batches(spark, state, N)
+
+
 def q_incomplete_batches(spark, sf_dir):
     return quality.incomplete_batches(_obs(spark, sf_dir), N)
 
@@ -169,6 +182,12 @@ def q_random_split(spark, sf_dir):
     return parts.agg(F.count(F.lit(1)).alias("n_total"))
 
 
+def q_exact_split(spark, sf_dir):
+    """SMP-1: exactly 80 % of the rows, the same after any repartition."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return split.exact_split(li, ["l_orderkey", "l_linenumber"])
+
+
 def q_union_cities(spark, sf_dir):
     """SET-1: one read per source (as the Score job read one file per city),
     every source, unioned by name."""
@@ -233,6 +252,38 @@ def q_label_index(spark, sf_dir):
     return ml.label_index_table(li, si.LINEITEM_LABEL, "label_index")
 
 
+def q_label_ranks(spark, sf_dir):
+    """AGG-7 over a column with many labels: the parts of the order lines."""
+    li = read_table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("part"))
+    return ranks.label_ranks(li, "part", "label_index")
+
+
+def q_feature_stats_incremental(spark, sf_dir):
+    """AGG-8 / ML-3 from per-day states of three loads, one of them replayed."""
+    li = si.lineitem_features(spark, sf_dir)
+    state = scratch_path(spark, "state", "moments", unique=True)
+    year = F.year("l_shipdate")
+    for load, rows in (("a", li.where(year < 1994)), ("b", li.where(year.between(1994, 1996))),
+                       ("c", li.where((year > 1996) | year.isNull())), ("b", li.where(year.between(1994, 1996)))):
+        incremental.merge_moments(rows, state, load, "l_shipdate", si.LINEITEM_FEATURES)
+    return incremental.merged_moments(spark, state).select(
+        "feature", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"))
+
+
+def q_tree_predictions(spark, sf_dir):
+    """ML-4 / ML-7: a tree of two levels over all lines, scored by its
+    expression; ``n_other`` counts rows on which ``transform`` differs."""
+    li = read_table(spark, sf_dir, "lineitem").withColumn("band", si.price_band())
+    model = ml.fit(Pipeline(stages=[
+        *ml.build_stages(si.TREE_FEATURES, label="band", label_index="band_index").getStages()[:3],
+        DecisionTreeClassifier(featuresCol="features", labelCol="band_index", maxDepth=2, maxBins=128, seed=42)]), li)
+    both = ml.score(model, li).withColumns({"guess": prediction(model), "index": label_index(model)})
+    other = (F.col("guess") != F.col("prediction")) | (F.col("index") != F.col("band_index"))
+    return both.groupBy("l_quantity", "l_discount", "l_tax", "band", F.col("index").alias("label_index"),
+                        F.col("guess").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(other.cast("long")).alias("n_other"))
+
+
 def q_feature_stats(spark, sf_dir):
     li = si.lineitem_features(spark, sf_dir)
     m = metrics.feature_moments(li, si.LINEITEM_FEATURES)
@@ -358,6 +409,21 @@ def q_score_job(spark, sf_dir):
     return rep.select("datetime", "model_type", map_text("city_indexes").alias("city_indexes"))
 
 
+def q_score_as_of(spark, sf_dir):
+    """SRC-4 over every batch: two models, saved on two days; each batch is
+    scored by the newest one of its own day (none before the first)."""
+    from obslake.plans.jobs import score_as_of
+    store = scratch_path(spark, "models", "score_as_of", unique=True)
+    rows = si.with_event_features(_obs(spark, sf_dir, cols=("value", "user_id", "props")))
+    for day in ("2024-01-10", "2024-01-20"):
+        train = rows.where(F.col("date") < day)
+        ml.save_model(ml.fit(ml.build_stages(si.EVENT_FEATURES, seed=42), train), store, day)
+    scored = score_as_of(spark, rows, store)
+    return scored.groupBy("date", "model_day").agg(
+        F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_scored"),
+        F.array_join(F.sort_array(F.collect_list(F.concat_ws("=", "city", F.col("city_index").cast("string")))), ",").alias("indexes"))
+
+
 # --- streaming (STR-*) -------------------------------------------------------
 
 def _event_stream(spark, sf_dir):
@@ -468,6 +534,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_rows": q_total_rows,
     "complete_batches": q_complete_batches,
     "complete_batches_strict": q_complete_batches_strict,
+    "complete_batches_incremental": q_complete_batches_incremental,
     "incomplete_batches": q_incomplete_batches,
     "clean_rows": q_clean_rows,
     "clean_rows_inner": q_clean_rows_inner,
@@ -479,6 +546,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lake_load": q_lake_load,
     "hash_split": q_hash_split,
     "random_split": q_random_split,
+    "exact_split": q_exact_split,
     "union_cities": q_union_cities,
     "union_positional": q_union_positional,
     "pct_text": q_pct_text,
@@ -488,17 +556,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_map": q_city_map,
     "point_lookup": q_point_lookup,
     "label_index": q_label_index,
+    "label_ranks": q_label_ranks,
     "feature_stats": q_feature_stats,
+    "feature_stats_incremental": q_feature_stats_incremental,
     "scaled_features": q_scaled_features,
     "confusion": q_confusion,
     "accuracy_by_batch": q_accuracy_by_batch,
     "precision_by_label": q_precision_by_label,
     "batch_report": q_batch_report,
     "train_score_report": q_train_score_report,
+    "tree_predictions": q_tree_predictions,
     "model_roundtrip": q_model_roundtrip,
     "model_metadata": q_model_metadata,
     "train_job": q_train_job,
     "score_job": q_score_job,
+    "score_as_of": q_score_as_of,
     "stream_ingest": q_stream_ingest,
     "stream_dedupe": q_stream_dedupe,
     "stream_first_wins": q_stream_first_wins,

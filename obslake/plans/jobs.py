@@ -23,9 +23,12 @@ from pyspark.sql.types import StructType
 
 from obslake.functions.expr import day_of_batch
 from obslake.modeling import stages as ml
+from obslake.modeling.expression import label_index, prediction
 from obslake.modeling.report import score_report
 from obslake.operators import quality
+from obslake.operators import incremental
 from obslake.operators.flatten import flatten
+from obslake.operators.ranks import asof_join
 from obslake.schema import (
     BATCH_COL, FEATURE_COLUMNS, LABEL_INDEX_COL, PARTITION_COL, RAW, SOURCE_COL,
     SOURCES_PER_BATCH,
@@ -81,14 +84,23 @@ def training_rows(flat: DataFrame, features: Sequence[str] = tuple(FEATURE_COLUM
 def train_job(spark: SparkSession, flat_path: str, model_store: str, day: str,
               features: Sequence[str] = tuple(FEATURE_COLUMNS),
               expected: int = SOURCES_PER_BATCH, strict: bool = False,
-              train_pct: int | None = None, seed: int | None = 42) -> str:
+              train_pct: int | None = None, seed: int | None = 42,
+              completeness_state: str | None = None) -> str:
     """Train: fit on the flat table's complete batches, save the model and
     its metadata document; returns the model path.
 
+    With ``completeness_state`` (see ``operators.incremental``) the complete
+    batches come from the state that the loads keep, without a pass over the rows.
+
     With ``train_pct`` the rows are split by key hash (stable across runs and
     partitionings) and only the train side is fitted."""
     from obslake.operators.split import hash_split
-    rows = training_rows(spark.read.parquet(flat_path), features, expected, strict)
+    flat = spark.read.parquet(flat_path)
+    if completeness_state is None:
+        rows = training_rows(flat, features, expected, strict)
+    else:
+        keys = incremental.complete_batches(spark, completeness_state, expected)
+        rows = quality.drop_rows_with_nulls(flat.join(keys, BATCH_COL, "left_semi"), [*features, SOURCE_COL])
     split_text = "None"
     if train_pct is not None:
         rows = hash_split(rows, [BATCH_COL, SOURCE_COL], train_pct).where(F.col("split") == "train")
@@ -139,6 +151,54 @@ def score_job(spark: SparkSession, lake_root: str, batches: Sequence[str] | None
     return report
 
 
+MODELS_PER_PASS = 16
+
+
+def registry(spark: SparkSession, model_store: str) -> DataFrame:
+    """(model_day, model_path) of every saved model."""
+    path = f"{model_store.rstrip('/')}/_registry"
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"no models in {model_store}")
+    return spark.read.schema("model_day string, model_path string").parquet(path)
+
+
+def models_of_batches(spark: SparkSession, batches: DataFrame, model_store: str) -> DataFrame:
+    """(batch, model_day, model_path): for each distinct batch key the newest
+    model saved on or before its day; null where there is none yet."""
+    days = (batches.select(BATCH_COL).distinct()
+            .withColumn("batch_day", day_of_batch(BATCH_COL).cast("string")))
+    return (asof_join(days, registry(spark, model_store), "batch_day", "model_day")
+            .select(BATCH_COL, "model_day", "model_path"))
+
+
+def score_as_of(spark: SparkSession, rows: DataFrame, model_store: str,
+                models_per_pass: int = MODELS_PER_PASS) -> DataFrame:
+    """Score over many days: every row by the newest model of its own batch's
+    day, as if each batch had been scored on arrival.
+
+    Adds ``model_day``, ``model_path``, the label index and ``prediction``;
+    rows of batches before the first model, and rows with a null feature, keep
+    a null prediction.  A model is one CASE expression (see
+    ``modeling.expression``), so one pass over the rows serves
+    ``models_per_pass`` models: each row evaluates the branch of its own."""
+    chosen = models_of_batches(spark, rows, model_store)
+    dated = rows.join(chosen, BATCH_COL, "left")
+    used = sorted(r[0] for r in chosen.select("model_path").distinct().where("model_path is not null").collect())
+    passes = [used[i:i + models_per_pass] for i in range(0, len(used), models_per_pass)]
+    none = F.lit(None).cast("double")
+    out = dated.where("model_path is null").withColumns({LABEL_INDEX_COL: none, "prediction": none})
+    for paths in passes:
+        index, guess = none, none
+        for path in paths:
+            model = ml.PipelineModel.load(path)
+            own = F.col("model_path") == path
+            index = F.when(own, label_index(model)).otherwise(index)
+            guess = F.when(own, prediction(model)).otherwise(guess)
+        out = out.unionByName(dated.where(F.col("model_path").isin(paths))
+                              .withColumns({LABEL_INDEX_COL: index, "prediction": guess}))
+    return out
+
+
 def _assembler_inputs(model) -> list[str]:
     from pyspark.ml.feature import VectorAssembler
     for st in model.stages:

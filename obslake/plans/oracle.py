@@ -49,15 +49,61 @@ HASH_BUCKET = ("(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)),
 LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "interval"]
 
 
-def _feature_stats() -> str:
+def _feature_stats(digits: int = 6) -> str:
     parts = []
     for f in LI_FEATURES:
         expr = "3600.0" if f == "interval" else f
-        parts.append(f"SELECT '{f}' AS feature, round(avg({expr}), 6) + 0.0 AS mean, "
-                     f"round(stddev_samp({expr}), 6) + 0.0 AS std FROM lineitem")
+        parts.append(f"SELECT '{f}' AS feature, round(avg({expr}), {digits}) + 0.0 AS mean, "
+                     f"round(stddev_samp({expr}), {digits}) + 0.0 AS std FROM lineitem")
     return "\nUNION ALL\n".join(parts)
 
 
+def _gini(*counts: str) -> str:
+    total = " + ".join(counts)
+    return f"(({total}) - ({' + '.join(f'({c}) * ({c})' for c in counts)}) / ({total}))"
+
+
+def _best_split(rows: str, group: str) -> str:
+    """Per ``group``: the (feature, threshold) of least weighted Gini impurity
+    among the midpoints of neighbouring values in the whole table."""
+    unpivot = " UNION ALL ".join(
+        f"SELECT {group}, '{f}' AS feature, {i} AS fi, {f} AS x, label_index FROM {rows}"
+        for i, f in enumerate(TREE_FEATURES))
+    kinds = range(3)
+    left = [f"sum(CASE WHEN x <= t AND label_index = {k} THEN n ELSE 0 END)::DOUBLE AS l{k}" for k in kinds]
+    right = [f"sum(CASE WHEN x > t AND label_index = {k} THEN n ELSE 0 END)::DOUBLE AS r{k}" for k in kinds]
+    return f"""SELECT {group}, arg_min({{'feature': feature, 't': t}}, {_gini('l0', 'l1', 'l2')} + {_gini('r0', 'r1', 'r2')}) AS s
+  FROM (SELECT {group}, feature, fi, t, {', '.join(left + right)}
+        FROM (SELECT {group}, feature, fi, x, label_index, count(*) AS n FROM ({unpivot}) GROUP BY ALL)
+        JOIN cuts USING (feature) GROUP BY {group}, feature, fi, t)
+  WHERE l0 + l1 + l2 > 0 AND r0 + r1 + r2 > 0 GROUP BY {group}"""
+
+
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_SIDE = "CASE s.feature " + " ".join(f"WHEN '{f}' THEN {f}" for f in TREE_FEATURES) + " END <= s.t"
+# A decision tree of two levels, grown in SQL.
+TREE = f"""WITH banded AS (
+  SELECT l_quantity, l_discount, l_tax, 0 AS node,
+         CASE WHEN l_quantity * (1 - 4 * l_discount) < 12 THEN 'low'
+              WHEN l_quantity * (1 - 4 * l_discount) < 24 THEN 'mid' ELSE 'high' END AS band FROM lineitem
+),
+idx AS (SELECT band, CAST(row_number() OVER (ORDER BY count(*) DESC, band) - 1 AS DOUBLE) AS label_index
+        FROM banded GROUP BY band),
+root AS (SELECT * FROM banded JOIN idx USING (band)),
+cuts AS ({" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, (x + lead(x) OVER (ORDER BY x)) / 2 AS t FROM (SELECT DISTINCT {f} AS x FROM lineitem) "
+    "QUALIFY t IS NOT NULL" for f in TREE_FEATURES)}),
+first AS ({_best_split('root', 'node')}),
+halves AS (SELECT root.* EXCLUDE (node), CASE WHEN {_SIDE} THEN 1 ELSE 2 END AS node FROM root JOIN first USING (node)),
+second AS ({_best_split('halves', 'node')}),
+leaves AS (SELECT halves.* EXCLUDE (node), 2 * node + CASE WHEN {_SIDE} THEN 0 ELSE 1 END AS node
+           FROM halves JOIN second USING (node)),
+said AS (SELECT node, arg_max(label_index, n) AS prediction
+         FROM (SELECT node, label_index, count(*) AS n FROM leaves GROUP BY ALL) GROUP BY node)
+SELECT l_quantity, l_discount, l_tax, band, label_index, prediction, count(*) AS n, 0::BIGINT AS n_other
+FROM leaves JOIN said USING (node) GROUP BY ALL"""
+
+
 def _scaled() -> str:
     cols = []
     for f in LI_FEATURES:
@@ -97,6 +143,8 @@ ORACLE_SQL: dict[str, str] = {
     "complete_batches": _with(EV, OBS) + "SELECT date FROM obs GROUP BY date HAVING count(*) = 5",
     "complete_batches_strict": _with(EV) + (
         "SELECT date FROM ev GROUP BY date HAVING count(DISTINCT city) = 5"),
+    "complete_batches_incremental": _with(EV) + (
+        "SELECT date FROM ev GROUP BY date HAVING count(DISTINCT city) = 5"),
     "incomplete_batches": _with(EV, OBS) + (
         "SELECT date, count(*) AS n FROM obs GROUP BY date HAVING count(*) < 5"),
     "clean_rows": _with(EV, OBS, CLEAN) + f"SELECT {OBS_COLS} FROM clean",
@@ -127,6 +175,10 @@ WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.date = o.date AND p.city = o.cit
     "hash_split": (
         f"SELECT CASE WHEN {HASH_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split, "
         "count(*) AS n FROM lineitem GROUP BY 1"),
+    "random_split": "SELECT count(*) AS n_total FROM lineitem",
+    "exact_split": f"""SELECT l_orderkey, l_linenumber,
+  CASE WHEN row_number() OVER (ORDER BY ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 15))::BIGINT)
+       <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split FROM lineitem""",
     "union_cities": _with(EV, OBS) + _PER_SOURCE_UNION,
     "pct_text": _with(EV, OBS, CLEAN) + """SELECT b.city,
   printf('%.2f%%', CAST(coalesce(a.n_clean, 0) AS DOUBLE) / b.n_obs * 100) AS share
@@ -144,7 +196,12 @@ LEFT JOIN (SELECT city, count(*) AS n_clean FROM clean GROUP BY city) a USING (c
         "AS city_values FROM obs GROUP BY date"),
     "point_lookup": _with(EV) + "SELECT city, arg_min(value, event_id) AS value FROM ev GROUP BY city",
     "label_index": _with(LI_IDX) + "SELECT l_returnflag, label_index FROM li_idx",
+    "label_ranks": ("SELECT l_partkey::VARCHAR AS part, CAST(row_number() OVER ("
+                    "ORDER BY count(*) DESC, l_partkey::VARCHAR) - 1 AS DOUBLE) AS label_index "
+                    "FROM lineitem GROUP BY l_partkey"),
     "feature_stats": _feature_stats(),
+    "feature_stats_incremental": _feature_stats(8),
+    "tree_predictions": TREE,
     "scaled_features": _scaled(),
     "confusion": _with(LI_IDX, LI_SCORED) + (
         "SELECT label_index, prediction, count(*) AS n FROM li_scored GROUP BY 1, 2"),
@@ -196,6 +253,17 @@ GROUP BY date""",
 )""") + """SELECT date AS datetime, 'PipelineModel' AS model_type,
   string_agg(city || '=' || printf('%.1f', city_index), ',' ORDER BY city) AS city_indexes
 FROM (SELECT DISTINCT date, city FROM ev) e JOIN idx USING (city) GROUP BY date""",
+    # Labels of a model: the readings before its day, most frequent first.
+    "score_as_of": _with(EV, OBS, """models(model_day) AS (VALUES ('2024-01-10'), ('2024-01-20'))""",
+                         """idx AS (
+  SELECT model_day, city, row_number() OVER (PARTITION BY model_day ORDER BY count(*) DESC, city) - 1 AS i
+  FROM obs JOIN models ON date < model_day GROUP BY model_day, city
+)""", """dated AS (
+  SELECT obs.*, (SELECT max(model_day) FROM models WHERE model_day <= left(date, 10)) AS model_day FROM obs
+)""") + """SELECT date, dated.model_day, count(*) AS n,
+  count(dated.model_day) AS n_scored,
+  string_agg(city || coalesce('=' || printf('%.1f', i::DOUBLE), ''), ',' ORDER BY city) AS indexes
+FROM dated LEFT JOIN idx USING (model_day, city) GROUP BY date, dated.model_day""",
     "stream_reports": _with(EV, OBS, CLEAN, """idx AS (
   SELECT city, CAST(row_number() OVER (ORDER BY count(*) DESC, city) - 1 AS DOUBLE) AS city_index
   FROM clean GROUP BY city

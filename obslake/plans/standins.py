@@ -94,6 +94,10 @@ def event_lake(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
     # Keyed by input folder and document format, so a format change never
     # reuses a lake landed by older code.
     fmt = EVENT_DOC.json() + LAKE_TIME_FORMAT
+    # And by the table's files, so changed events never meet an old lake.
+    files = read_table(spark, sf_dir, "events").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    fmt += files.agg(F.md5(F.to_json(F.sort_array(F.collect_list(F.struct("*")))))).first()[0]
     tag = hashlib.sha1((sf_dir.rstrip("/") + "|" + fmt).encode()).hexdigest()[:12]
     root = scratch_path(spark, "lakes", f"events-{tag}")
     if fresh or not path_exists(spark, f"{root}/_SUCCESS"):
@@ -108,6 +112,15 @@ def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit(float(INTERVAL_SECONDS)).alias("interval"))
 
 
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def price_band():
+    """A label that quantity and discount nearly decide, for a tree to learn."""
+    x = F.col("l_quantity") * (1 - 4 * F.col("l_discount"))
+    return F.when(x < 12, "low").when(x < 24, "mid").otherwise("high")
+
+
 def quantity_band_prediction(col: str = "l_quantity"):
     """A fixed rule standing in for a model, so grading is exactly checkable:
     quantity <= 17 -> 0.0, <= 34 -> 1.0, else 2.0."""
