@@ -67,7 +67,7 @@ def rank_encoder(path: str | None = None, json_path: str | None = None) -> Calla
 
     def encode(text: str) -> list[int]:
         nonlocal whole
-        if len(text) >= LONG_RUN and long_run.search(text):
+        if len(text) >= LONG_RUN and long_run(text):
             whole = whole or json_encoder(json_path)
             return whole(text)
         return encoding.encode(text, allowed_special="all")
