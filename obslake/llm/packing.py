@@ -55,16 +55,19 @@ def rank_encoder(path: str | None = None, json_path: str | None = None) -> Calla
     run of letters is one piece; texts with a run of ``LONG_RUN`` characters of
     a kind go through the ``tokenizers`` file itself."""
     import public_tokenizers
-    import regex
     import tiktoken
 
     with open(path or public_vocabulary(), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                  special_tokens=SPECIAL)
-    long_run = regex.compile(rf"\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
+    half = LONG_RUN // 2
     whole = None
 
+    def long_run(text: str) -> bool:
+        """Such a run covers a whole block of half its length, which then has one word at most."""
+        return any(len(text[i:i + half].split(None, 1)) < 2 for i in range(0, len(text) - half + 1, half))
+
     def encode(text: str) -> list[int]:
         nonlocal whole
         if len(text) >= LONG_RUN and long_run(text):
