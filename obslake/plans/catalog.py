@@ -22,12 +22,14 @@ from obslake.functions.expr import (
 from obslake.modeling.expression import label_index, prediction
 from obslake.modeling.report import read_reports, score_report
 from obslake.modeling import stages as ml
-from obslake.operators import incremental, metrics, quality, ranks, split
+from obslake.operators import incremental, metrics, quality, ranks, sketches, split
 from obslake.operators.flatten import flatten
 from obslake.plans import standins as si
 from obslake.session import scratch_path
+from obslake.sinks.compact import allowed_files, compact_days, day_files
 from obslake.sinks.table import insert_if_absent, preview, write_documents
 from obslake.sources.lake import decode_payload, scan_batch, scan_lake
+from obslake.sources.rescue import field_counts, with_rescue
 from obslake.sources.tables import read_table
 
 N = si.SOURCES_PER_EVENT_BATCH
@@ -35,6 +37,8 @@ N = si.SOURCES_PER_EVENT_BATCH
 BAD_BATCHES = ["2024-01-01_0000", "2024-01-15_1200"]
 # Earlier load that the insert query must not overwrite: batches before this.
 PRIOR_LOAD_BEFORE = "2024-01-16_0000"
+# Days before this one are closed for loads.
+COMPACT_BEFORE = "2024-01-25"
 OBS_COLS = ["date", "city", "event_id", "value"]
 
 
@@ -68,6 +72,17 @@ def q_decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("event_id", F.col("doc.k").alias("k"), bad.cast("int").alias("rejected"))
 
 
+def q_payload_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5 with fields that drift: the declared one, and what else was sent."""
+    d = with_rescue(si.drifting_payloads(spark, sf_dir), "payload", {"k": "bigint"})
+    return d.select("event_id", F.col("doc.k").alias("k"), F.to_json("rescued").alias("rescued"))
+
+
+def q_payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5: paths and kinds of all payloads, with counts."""
+    return field_counts(si.drifting_payloads(spark, sf_dir), "payload")
+
+
 def q_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = si.event_readings(spark, sf_dir)
     nested = r.select(
@@ -114,6 +129,18 @@ def q_complete_batches_incremental(spark, sf_dir):
     return incremental.complete_batches(spark, state, N)
 
 
+def q_approximate_users(spark, sf_dir):
+    """AGG-6 / STR-3 for sources too many to list: the distinct users of each
+    day, from hourly sketches of three loads that overlap by a day."""
+    r = si.event_readings(spark, sf_dir).select("date", "user_id")
+    state = scratch_path(spark, "state", "sketches", unique=True)
+    for rows in (r.where("date < '2024-01-12'"), r.where("date >= '2024-01-11' and date < '2024-01-22'"),
+                 r.where("date >= '2024-01-21' or date is null")):
+        sketches.merge_sketches(rows, state, source_col="user_id", lg_k=16)
+    return sketches.approximate_sources(spark, state, ["day"]).select(
+        F.col("day").cast("string").alias("day"), F.col("n_sources").alias("n_users"))
+
+
 def q_incomplete_batches(spark, sf_dir):
     return quality.incomplete_batches(_obs(spark, sf_dir), N)
 
@@ -167,6 +194,20 @@ def q_lake_load(spark, sf_dir):
     return spark.read.parquet(target).select(*OBS_COLS)
 
 
+def q_compacted_table(spark, sf_dir):
+    """SNK-1 / STR-1: five loads leave five files a day; the days before a cut
+    are compacted.  Every row, and whether its closed day has few files."""
+    target = scratch_path(spark, "tables", "compacted", unique=True)
+    r = si.event_readings(spark, sf_dir).select("date", "city", "ts", "event_id", "value")
+    part = F.pmod(F.substring("date", 12, 2).cast("int"), F.lit(5))
+    for i in range(5):
+        insert_if_absent(r.where(part == i), target, order_by=si.EVENT_ORDER)
+    compact_days(spark, target, COMPACT_BEFORE)
+    closed = day_files(spark, target).where(F.col("day") < F.lit(COMPACT_BEFORE).cast("date")).select(
+        "day", (F.col("n_files") <= allowed_files()).alias("few_files"))
+    return spark.read.parquet(target).join(closed, "day", "left").select(*OBS_COLS, "few_files")
+
+
 # --- splits, unions, expressions --------------------------------------------
 
 def q_hash_split(spark, sf_dir):
@@ -527,6 +568,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_scan": q_batch_scan,
     "provenance_city": q_provenance_city,
     "decode_payload": q_decode_payload,
+    "payload_rescue": q_payload_rescue,
+    "payload_fields": q_payload_fields,
     "flatten": q_flatten,
     "select_attr_preview": q_select_attr_preview,
     "batch_counts": q_batch_counts,
@@ -535,6 +578,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "complete_batches": q_complete_batches,
     "complete_batches_strict": q_complete_batches_strict,
     "complete_batches_incremental": q_complete_batches_incremental,
+    "approximate_users": q_approximate_users,
     "incomplete_batches": q_incomplete_batches,
     "clean_rows": q_clean_rows,
     "clean_rows_inner": q_clean_rows_inner,
@@ -544,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "eq_filter": q_eq_filter,
     "insert_new": q_insert_new,
     "lake_load": q_lake_load,
+    "compacted_table": q_compacted_table,
     "hash_split": q_hash_split,
     "random_split": q_random_split,
     "exact_split": q_exact_split,

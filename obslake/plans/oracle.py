@@ -172,6 +172,23 @@ UNION ALL
 SELECT {OBS_COLS} FROM obs o
 WHERE NOT EXISTS (SELECT 1 FROM prior p WHERE p.date = o.date AND p.city = o.city)""",
     "lake_load": _with(EV, OBS) + f"SELECT {OBS_COLS} FROM obs",
+    "compacted_table": _with(EV, OBS) + (
+        f"SELECT {OBS_COLS}, CASE WHEN date < '2024-01-25' THEN true END AS few_files FROM obs"),
+    "approximate_users": ("SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT user_id) AS n_users "
+                          "FROM events GROUP BY 1"),
+    "payload_rescue": """SELECT event_id,
+  CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(props->>'k' AS BIGINT) END AS k,
+  CASE event_type WHEN 'error' THEN '{"k":"' || (props->>'k') || '"}'
+    WHEN 'purchase' THEN '{"buyer":{"id":' || user_id || ',"tags":["new",1]}}' END AS rescued
+FROM events""",
+    "payload_fields": """SELECT pair[1] AS path, pair[2] AS kind, count(*) AS n FROM (
+  SELECT unnest(CASE event_type
+    WHEN 'error' THEN [['$', 'OBJECT'], ['$.k', 'STRING']]
+    WHEN 'signup' THEN [['$', 'OBJECT'], ['$.k', 'VOID']]
+    WHEN 'purchase' THEN [['$', 'OBJECT'], ['$.k', 'BIGINT'], ['$.buyer', 'OBJECT'], ['$.buyer.id', 'BIGINT'],
+      ['$.buyer.tags', 'ARRAY'], ['$.buyer.tags[*]', 'STRING'], ['$.buyer.tags[*]', 'BIGINT']]
+    ELSE [['$', 'OBJECT'], ['$.k', 'BIGINT']] END) AS pair FROM events
+) GROUP BY 1, 2""",
     "hash_split": (
         f"SELECT CASE WHEN {HASH_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split, "
         "count(*) AS n FROM lineitem GROUP BY 1"),

@@ -105,6 +105,21 @@ def event_lake(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
     return root
 
 
+def drifting_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, payload): the events' payloads as their senders might change
+    them: errors send ``k`` as text, purchases add a buyer, signups send a
+    null ``k``; the others are as given."""
+    ev = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    buyer = F.concat(F.lit('{"k": '), k, F.lit(', "buyer": {"id": '), F.col("user_id").cast("string"),
+                     F.lit(', "tags": ["new", 1]}}'))
+    payload = (F.when(F.col("event_type") == "error", F.concat(F.lit('{"k": "'), k, F.lit('"}')))
+               .when(F.col("event_type") == "purchase", buyer)
+               .when(F.col("event_type") == "signup", F.lit('{"k": null}'))
+               .otherwise(F.col("props")))
+    return ev.select("event_id", payload.alias("payload"))
+
+
 def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.select("l_orderkey", "l_linenumber", LINEITEM_LABEL, "l_shipdate",
