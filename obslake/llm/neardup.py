@@ -1,9 +1,10 @@
 """MinHash near-duplicates by improved consistent weighted sampling.
 
 1. Equal texts collapse to one node (their SHA-256 digest).
-2. Shingles of five words are weighted by tf * idf, where idf is a smoothed
-   inverse document frequency between 1 and 2, counted over all texts in a
-   hashed table of fixed size.
+2. Shingles of five words are weighted by tf * idf, where idf falls from 2 to
+   1 with the share of the texts that hold the shingle.  Shares of 0.01 or more
+   are counted exactly, in two passes: cells of hashes that may hold such a
+   shingle, then the shingles of these cells.  All rarer shingles weigh 2.
 3. Improved consistent weighted sampling draws ``bands * rows`` samples of a
    text; two texts agree on a sample with a probability equal to their
    weighted Jaccard similarity.  ``rows`` samples form a band key.
@@ -26,6 +27,8 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,7 +40,10 @@ from obslake.llm.components import components
 WIDTH = 5            # words of a shingle
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 3  # a pair at 0.8 is missed by all bands with p = 0.0008
-IDF_BITS = 18        # size of the hashed document-frequency table
+HEAVY = 0.01         # share of the texts from which a shingle's frequency counts
+RARE = 2.0           # weight of the shingles below that share
+CELL_BITS = 18       # leading bits of the hashes by which heavy shingles are looked for
+HELD = 1 << 21       # shingles that a task counts before it hands them on
 DRAWS = 1 << 16
 BLOCK = 256          # members of a bucket that are compared at a time with as many others
 COLUMNS = 4096       # shingles of one step of a block's overlap matrix
@@ -60,40 +66,106 @@ def unique_shingles(texts: list[str], width: int):
     return hashes[at], doc[at], np.diff(np.append(at, len(hashes)))
 
 
-def document_frequencies(nodes: DataFrame, width: int = WIDTH, bits: int = IDF_BITS) -> DataFrame:
-    """(bucket, df): over all nodes, how many texts have a shingle in the
-    bucket.  Each task adds up its own table of ``2 ** bits`` counts."""
+class Idf(NamedTuple):
+    """Weights of shingles: ``value`` for those listed in ``heavy`` (sorted
+    hashes), ``RARE`` for all others.  ``cells`` marks the leading bits that a
+    listed shingle may have."""
+
+    cells: np.ndarray
+    heavy: np.ndarray
+    value: np.ndarray
+
+
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def cell_frequencies(nodes: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(cell, df): how many (text, shingle) pairs fall in a cell of hashes, an
+    upper bound of the document frequency of each of its shingles.  Each task
+    adds up its own table of ``2 ** CELL_BITS`` counts."""
 
     def count(batches):
-        total = np.zeros(1 << bits, dtype=np.int64)
+        total = np.zeros(1 << CELL_BITS, dtype=np.int64)
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, b in blocks(texts):
                 hashes, _, _ = unique_shingles(texts[a:b], width)
-                total += np.bincount((hashes >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                total += np.bincount(_cell(hashes), minlength=1 << CELL_BITS)
         hit = np.flatnonzero(total)
         for i in range(0, len(hit), 1 << 16):
             part = hit[i:i + (1 << 16)]
-            yield pd.DataFrame({"bucket": part, "df": total[part]})
+            yield pd.DataFrame({"cell": part, "df": total[part]})
 
-    return (nodes.select("text").mapInPandas(count, "bucket int, df long")
-            .groupBy("bucket").agg(F.sum("df").alias("df")))
+    return (nodes.select("text").mapInPandas(count, "cell int, df long")
+            .groupBy("cell").agg(F.sum("df").alias("df")))
 
 
-def idf_table(frequencies: DataFrame, n_texts: int, bits: int = IDF_BITS) -> np.ndarray:
-    """1 + ln((1 + n) / (1 + df)) / ln(1 + n), within [1, 2].  The table has
-    ``2 ** bits`` entries whatever the corpus, so the driver may hold it."""
-    df = np.zeros(1 << bits)
-    rows = frequencies.toPandas()
-    df[rows["bucket"].to_numpy(np.int64)] = rows["df"].to_numpy(float)
-    df = np.minimum(df, n_texts)
-    n = float(max(n_texts, 1))
-    return (1.0 + np.log((1 + n) / (1 + df)) / np.log(1 + n)).astype(np.float32)
+def shingle_frequencies(nodes: DataFrame, cells: np.ndarray, width: int = WIDTH) -> DataFrame:
+    """(shingle, df): exact document frequencies of the shingles whose cell is
+    marked.  Each task adds up its shingles before the shuffle, a bounded
+    number at a time."""
 
+    def merged(parts):
+        hashes, at = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        return hashes, np.bincount(at, np.concatenate([c for _, c in parts])).astype(np.int64)
 
-def weights(hashes: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    bits = int(idf.size).bit_length() - 1
-    return counts * idf[(hashes >> np.uint64(64 - bits)).astype(np.int64)]
+    def frame(hashes, counts):
+        return pd.DataFrame({"shingle": hashes.view(np.int64), "df": counts})
+
+    def count(batches):
+        parts, size = [], 0
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            for a, b in blocks(texts):
+                hashes, _, _ = unique_shingles(texts[a:b], width)
+                hashes = hashes[cells[_cell(hashes)]]
+                parts.append((hashes, np.ones(len(hashes))))
+                size += len(hashes)
+                if size > HELD:
+                    parts = [merged(parts)]
+                    size = len(parts[0][0])
+                    if size > HELD // 2:
+                        yield frame(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield frame(*merged(parts))
+
+    return (nodes.select("text").mapInPandas(count, "shingle long, df long")
+            .groupBy("shingle").agg(F.sum("df").alias("df")))
+
+
+def idf_of(nodes: DataFrame, n_texts: int, width: int = WIDTH) -> Idf:
+    """The weights of the shingles of ``n_texts`` texts.
+
+    A shingle in a share p of all texts weighs 1 + ln(p) / ln(HEAVY) where p
+    is HEAVY or more (1 if all texts have it), and RARE otherwise: shares
+    alone decide, so a pair keeps its similarity when the corpus grows.  A
+    text of m distinct shingles on average has at most m / HEAVY such
+    shingles in all, whatever the corpus, so the driver may hold them."""
+    least = HEAVY * n_texts
+    found = cell_frequencies(nodes, width).where(F.col("df") >= least).select("cell").toPandas()
+    cells = np.zeros(1 << CELL_BITS, bool)
+    cells[found["cell"].to_numpy(np.int64)] = True
+    if not cells.any():
+        return Idf(cells, np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    rows = shingle_frequencies(nodes, cells, width).where(F.col("df") >= least).toPandas()
+    heavy = rows["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(heavy)
+    heavy, share = heavy[order], rows["df"].to_numpy(float)[order] / max(n_texts, 1)
+    cells[:] = False
+    cells[_cell(heavy)] = True
+    return Idf(cells, heavy, (1.0 + np.log(share) / np.log(HEAVY)).astype(np.float32))
+
+
+def weights(hashes: np.ndarray, counts: np.ndarray, idf: Idf) -> np.ndarray:
+    each = np.full(len(hashes), RARE, np.float32)
+    maybe = np.flatnonzero(idf.cells[_cell(hashes)])
+    if len(maybe):
+        at = np.minimum(np.searchsorted(idf.heavy, hashes[maybe]), len(idf.heavy) - 1)
+        same = idf.heavy[at] == hashes[maybe]
+        each[maybe[same]] = idf.value[at[same]]
+    return counts * each
 
 
 def _draws():
@@ -103,7 +175,7 @@ def _draws():
     return r.astype(f32), (1 / r).astype(f32), np.log(c).astype(f32), rng.random(DRAWS).astype(f32)
 
 
-def band_keys(texts: list[str], idf: np.ndarray, bands: int, rows: int, width: int,
+def band_keys(texts: list[str], idf: Idf, bands: int, rows: int, width: int,
               draws) -> np.ndarray:
     """One 64-bit key per text and band; 0 for texts without a shingle."""
     r, inverse_r, log_c, beta = draws
@@ -132,7 +204,7 @@ def band_keys(texts: list[str], idf: np.ndarray, bands: int, rows: int, width: i
     return out
 
 
-def signatures(nodes: DataFrame, idf: np.ndarray, bands: int, rows: int, width: int) -> DataFrame:
+def signatures(nodes: DataFrame, idf: Idf, bands: int, rows: int, width: int) -> DataFrame:
     """(node, bands) of the nodes that have a shingle."""
 
     def sign(batches):
@@ -150,7 +222,7 @@ def signatures(nodes: DataFrame, idf: np.ndarray, bands: int, rows: int, width:
     return nodes.mapInPandas(sign, "node binary, bands array<long>")
 
 
-def weighted_jaccard(a: list[str], b: list[str], idf: np.ndarray, width: int) -> np.ndarray:
+def weighted_jaccard(a: list[str], b: list[str], idf: Idf, width: int) -> np.ndarray:
     """Sum of minima over sum of maxima of the shingle weights of each pair."""
     sums = []
     both: list[str] = []
@@ -168,7 +240,7 @@ def weighted_jaccard(a: list[str], b: list[str], idf: np.ndarray, width: int) ->
     return np.divide(least, sums, out=np.zeros(len(a)), where=sums > 0)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float,
+def verified(pairs: DataFrame, texts: DataFrame, idf: Idf, threshold: float,
              width: int) -> DataFrame:
     """The pairs (a, b) whose texts reach the threshold."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -193,7 +265,7 @@ def links(nodes: DataFrame, *, threshold: float = THRESHOLD, width: int = WIDTH,
     ``nodes``: (node, text), one row per distinct text, read more than once.
     """
     n = nodes.count()
-    idf = idf_table(document_frequencies(nodes, width), n)
+    idf = idf_of(nodes, n, width)
     signed = written(signatures(nodes, idf, bands, rows, width), "neardup-signatures")
     keyed = signed.select("node", F.posexplode("bands").alias("band", "hash")).select(
         "node", F.xxhash64("band", "hash").alias("key"))
@@ -282,7 +354,7 @@ def _packs(batches):
         yield held
 
 
-def _overlap_bound(texts: list[str], idf: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def _overlap_bound(texts: list[str], idf: Idf, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Weight of each text, and for each two texts an upper bound of the sum of
     minima: the sum of sqrt(w * w') (equal to it where the weights are equal)."""
     hashes, doc, counts = unique_shingles(texts, width)
@@ -303,7 +375,7 @@ def _overlap_bound(texts: list[str], idf: np.ndarray, width: int) -> tuple[np.nd
     return total, bound
 
 
-def _nearest(pdf: pd.DataFrame, idf: np.ndarray, threshold: float, width: int) -> pd.DataFrame:
+def _nearest(pdf: pd.DataFrame, idf: Idf, threshold: float, width: int) -> pd.DataFrame:
     """Verified links (a, b) that join the components of each block pair as all
     its verified links would."""
     none = pd.DataFrame({"a": [], "b": []}, dtype=object)
@@ -341,7 +413,7 @@ def _nearest(pdf: pd.DataFrame, idf: np.ndarray, threshold: float, width: int) -
     return pd.DataFrame(out, columns=["a", "b"]) if out else none
 
 
-def _links_between(rows: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float, width: int) -> DataFrame:
+def _links_between(rows: DataFrame, texts: DataFrame, idf: Idf, threshold: float, width: int) -> DataFrame:
     """Links (a, b) between different components of a bucket.  Every pair of
     nodes of different components is bounded, and verified unless the bound
     excludes it or verified links have joined its components."""

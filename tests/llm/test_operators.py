@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import math
 import re
@@ -193,15 +194,23 @@ def test_toxicity_without_labels(spark, docs):
 
 def brute_classes(texts):
     """Classes of similar texts by all pairs (the smallest index of each)."""
-    sets = [neardup.unique_shingles([t], neardup.WIDTH) for t in texts]
-    df = np.bincount(np.concatenate([s[0] >> np.uint64(64 - neardup.IDF_BITS) for s in sets]).astype(np.int64),
-                     minlength=1 << neardup.IDF_BITS)
     n = len(texts)
-    idf = (1 + np.log((1 + n) / (1 + np.minimum(df, n))) / np.log(1 + n)).astype(np.float32)
+    counts = []
+    for t in texts:
+        hashes, _, times = neardup.unique_shingles([t], neardup.WIDTH)
+        counts.append(dict(zip(hashes.tolist(), times.tolist())))
+    df = collections.Counter(h for c in counts for h in c)
+    idf = {h: 1 + math.log(d / n) / math.log(neardup.HEAVY) if d >= neardup.HEAVY * n else neardup.RARE
+           for h, d in df.items()}
+
+    def similarity(a, b):
+        least = sum(min(a[h], b[h]) * idf[h] for h in a.keys() & b.keys())
+        return least / (sum(k * idf[h] for x in (a, b) for h, k in x.items()) - least)
+
     label = list(range(n))
     for i in range(n):
         for j in range(i + 1, n):
-            if neardup.weighted_jaccard([texts[i]], [texts[j]], idf, neardup.WIDTH)[0] >= neardup.THRESHOLD:
+            if similarity(counts[i], counts[j]) >= neardup.THRESHOLD:
                 label = [label[i] if x == label[j] else x for x in label]
     smallest = {}
     for i, x in enumerate(label):
