@@ -7,11 +7,15 @@ Each candidate window is verified with Myers' bit-parallel edit distance.
 
 Texts are compared as lower-cased words joined by one space.  Documents are
 only scanned (no shuffle); the benchmark is read in blocks of bounded size, one
-scan of the documents per block.
+scan of the documents per block.  With several blocks each scan's hits are
+written before the next block is read, so that the driver and the executors
+hold one block at a time.
 
 Edge cases: null or wordless items match nothing; null or empty texts hold no
-item.  Repeated items and repeated documents each give their own rows.  An
-empty benchmark or document table gives no matches.
+item.  Repeated items and repeated documents each give their own rows.  Of
+equal distances the first exact place, else the first end, is reported.  A very
+long text is searched whole by its row's task.  An empty benchmark or document
+table gives no matches.
 """
 
 from __future__ import annotations
@@ -19,12 +23,15 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obslake.llm.common import written
+
 RATE = 0.06
 BLOCK_CHARS = 4_000_000  # benchmark text that one pass over the documents holds
 
@@ -166,14 +173,30 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     return (first or 0), last
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, str]]]:
-    """The benchmark in blocks of about ``BLOCK_CHARS`` characters."""
+def block_count(benchmark: DataFrame, text: str) -> int:
+    """Blocks of about ``BLOCK_CHARS`` characters that hold the benchmark."""
+    return max(1, math.ceil((benchmark.agg(F.sum(F.length(text)).alias("n")).head()["n"] or 0) / BLOCK_CHARS))
+
+
+def block_of(benchmark: DataFrame, item_id: str, text: str, i: int, n: int) -> list[tuple[object, str]]:
+    """Block ``i`` of ``n`` of the benchmark, by a hash of the item."""
     items = benchmark.select(F.col(item_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    chars = items.agg(F.sum(F.length("text")).alias("n")).head()["n"] or 0
-    n = max(1, math.ceil(chars / BLOCK_CHARS))
+    return [(r["id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i).collect()]
+
+
+def _by_block(docs: DataFrame, benchmark: DataFrame, item_id: str, text: str, n: int,
+              scan: Callable[[Broadcast], DataFrame]) -> DataFrame:
+    """The union of ``scan`` over the blocks; with several, each is written and
+    its block given up before the next is read."""
+    out = None
     for i in range(n):
-        block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == i)
-        yield [(r["id"], r["text"]) for r in block.collect()]
+        shared = docs.sparkSession.sparkContext.broadcast(block_of(benchmark, item_id, text, i, n))
+        part = scan(shared)
+        if n > 1:
+            part = written(part, "benchmark-hits")
+            shared.destroy()
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -183,11 +206,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null")
     doc_type = rows.schema["doc_id"].dataType.simpleString()
     item_type = benchmark.schema[item_id].dataType.simpleString()
-    out = None
-    for block in blocks_of(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def scan(batches, shared=shared):
+    def scan(shared):
+        def search(batches):
             match = Matcher(shared.value, rate)
             for pdf in batches:
                 found = []
@@ -200,17 +221,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", te
                         frame[c] = frame[c].astype("Int64")
                 yield frame
 
-        part = rows.mapInPandas(scan, f"doc_id {doc_type}, item_id {item_type}, distance int, start int, end int")
-        out = part if out is None else out.unionByName(part)
-    return out
+        return rows.mapInPandas(search, f"doc_id {doc_type}, item_id {item_type}, distance int, start int, end int")
+
+    return _by_block(docs, benchmark, item_id, item_text, block_count(benchmark, item_text), scan)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
-    """The documents (all columns) that hold no benchmark item."""
-    for block in blocks_of(benchmark, item_id, item_text):
-        docs = docs.where(~_leaks(docs.sparkSession.sparkContext.broadcast(block), rate)(F.col(text)))
-    return docs
+    """The documents (all columns) that hold no benchmark item.
+
+    One block is a filter of the scan.  With several, each scan writes the
+    SHA-256 of the texts it finds, and these texts go in an anti join."""
+    n = block_count(benchmark, item_text)
+
+    def found(shared):
+        return docs.where(_leaks(shared, rate)(F.col(text))).select(F.sha2(F.col(text), 256).alias("digest"))
+
+    if n == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(block_of(benchmark, item_id, item_text, 0, 1))
+        return docs.where(~_leaks(shared, rate)(F.col(text)))
+    leaky = _by_block(docs, benchmark, item_id, item_text, n, found).distinct()
+    return docs.join(leaky, F.sha2(docs[text], 256) == leaky["digest"], "left_anti")
 
 
 def _leaks(shared, rate: float):

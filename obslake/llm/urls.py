@@ -16,12 +16,15 @@ subdomain of it and whose path starts with the rule's.
 Edge cases: a null URL, or one without ``://``, has an empty host and path,
 which no rule with a host fits.  Empty labels are labels.  Rules with a null
 host or path are ignored; repeated rules are one.  Repeated rows and null ids
-are judged each.  Empty tables give empty results; without rules every URL
+are judged each.  Of a very long URL only as much is hashed as a rule is long.
+Empty tables give empty results; without rules every URL
 takes the default.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,11 +70,15 @@ def _digest(host: Column, path: Column) -> Column:
 
 def expressions(urls: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
     """(host, path, digest, key) of each expression of a shape (labels of the
-    host suffix, characters of the path prefix) of each row of (host, path)."""
-    made = [F.when((_labels("host") >= n) & (F.length("path") >= m),
-                   _digest(F.substring_index("host", ".", -n), F.substring("path", 1, m)))
-            for n, m in shapes]
-    return (urls.select("host", "path", F.explode(F.array_compact(F.array(*made))).alias("digest"))
+    host suffix, characters of the path prefix) of each row of (host, path).
+
+    The shapes are one array of the plan, however many there are."""
+    known = F.from_json(F.lit(json.dumps([{"n": n, "m": m} for n, m in shapes])), "array<struct<n: int, m: int>>")
+    fits = F.filter(known, lambda s: (s["n"] <= F.col("labels")) & (s["m"] <= F.col("size")))
+    made = F.transform(fits, lambda s: _digest(F.call_function("substring_index", F.col("host"), F.lit("."), -s["n"]),
+                                               F.substring(F.col("path"), F.lit(1), s["m"])))
+    return (urls.select("host", "path", _labels("host").alias("labels"), F.length("path").alias("size"))
+            .select("host", "path", F.explode(made).alias("digest"))
             .withColumn("key", F.substring("digest", 1, 8)))
 
 

@@ -11,7 +11,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from obslake.llm import decontaminate, langid, licenses
+from obslake.llm import decontaminate, langid, licenses, urls
 
 
 # --- licences --------------------------------------------------------------
@@ -265,3 +265,43 @@ def test_decontamination_of_empty_tables(spark):
     long_text = "gamma " * 200_000 + "alpha beta"
     one = df.withColumn("text", F.lit(long_text))
     assert decontaminate.matches(one, bench).head().distance == 0
+
+
+# --- URL rules ---------------------------------------------------------------
+
+def brute_verdict(host, path, rules):
+    hits = [(len(h) + len(p), len(h), v == urls.BLOCK, h + p) for h, p, v in rules
+            if h is not None and p is not None and v is not None
+            and (host == h.lower() or host.endswith("." + h.lower())) and path.startswith(p)]
+    if not hits:
+        return None, urls.ALLOW
+    size, host_size, blocks, rule = max(hits)
+    return rule, urls.BLOCK if blocks else urls.ALLOW
+
+
+def test_url_rules_of_many_shapes_equal_brute_force(spark):
+    rng = random.Random(9)
+
+    def word(n):
+        return "".join(rng.choice("abc") for _ in range(n))
+
+    hosts = [".".join(word(rng.randrange(1, 3)) for _ in range(rng.randrange(1, 6))) for _ in range(40)]
+    rules = list({(rng.choice(hosts), "/" + word(rng.randrange(0, 60))): rng.choice(["allow", "block"])
+                  for _ in range(400)}.items())
+    rules = [(h, p, v) for (h, p), v in rules] + [("a", "/", "block"), ("a", "/", "block"), (None, "/", "allow"),
+                                                  ("b", None, "allow"), ("b", "/", None)]
+    pages = [(i, f"http://{rng.choice(hosts)}{rng.choice(rules)[1] or ''}{word(3)}?q#f") for i in range(300)]
+    pages += [(300, None), (301, ""), (302, "no scheme"), (303, pages[0][1]), (303, pages[0][1]), (None, pages[1][1]),
+              (304, "http://a/" + "b" * 1_000_000)]
+    df = spark.createDataFrame([(i, u, "x") for i, u in pages], "page_id long, url string, digest string")
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    assert len({(h.count("."), len(p)) for h, p, _ in rules if h and p}) > 100
+    got = Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge(df, table).collect())
+    expected = Counter()
+    for i, u in pages:
+        rest = (u or "").partition("://")[2]
+        host, path = regex.match("[^/?#]*", rest)[0].lower(), regex.match("[^/?#]*([^?#]*)", rest)[1]
+        expected[(i, host, path, *brute_verdict(host, path, rules))] += 1
+    assert got == expected
+    assert urls.judge(df.limit(0), table).collect() == []
+    assert {r.verdict for r in urls.judge(df, table.limit(0)).collect()} == {urls.ALLOW}
