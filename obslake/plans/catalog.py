@@ -512,6 +512,16 @@ def q_stream_first_wins(spark, sf_dir):
     return spark.read.parquet(out).select(*OBS_COLS)
 
 
+def q_stream_first_seen(spark, sf_dir):
+    """STR-4 at once: every (batch, source) when its first reading arrives."""
+    from obslake.streaming.first_seen import start_first_seen_stream
+    out = scratch_path(spark, "tables", "stream_first_seen", unique=True)
+    ckpt = scratch_path(spark, "checkpoints", "stream_first_seen", unique=True)
+    r = _event_stream(spark, sf_dir).select("date", "city", "ts", "event_id", "value")
+    start_first_seen_stream(r, out, ckpt, "ts", si.EVENT_ORDER).awaitTermination()
+    return spark.read.parquet(out).select(*OBS_COLS)
+
+
 def q_stream_score(spark, sf_dir):
     from obslake.streaming.score import start_score_stream
     model = ml.fit(ml.build_stages(si.EVENT_FEATURES, seed=42), _clean_event_training(spark, sf_dir))
@@ -619,6 +629,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "stream_dedupe": q_stream_dedupe,
     "stream_first_wins": q_stream_first_wins,
+    "stream_first_seen": q_stream_first_seen,
     "stream_score": q_stream_score,
     "stream_completeness": q_stream_completeness,
     "stream_reports": q_stream_reports,

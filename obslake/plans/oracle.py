@@ -296,6 +296,7 @@ FROM clean JOIN idx USING (city) GROUP BY date""",
         f"SELECT {OBS_COLS} FROM obs "
         "WHERE strptime(date, '%Y-%m-%d_%H%M') + INTERVAL 1 HOUR <= "
         "(SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 2 HOUR"),
+    "stream_first_seen": _with(EV, OBS) + f"SELECT {OBS_COLS} FROM obs",
     "stream_score": "SELECT count(*) AS n_scored FROM events",
     "stream_completeness": _with(EV) + (
         "SELECT date AS batch, count(DISTINCT city) AS n_sources FROM ev GROUP BY date"),
