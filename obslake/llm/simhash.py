@@ -1,4 +1,4 @@
-"""Document fingerprints: SimHash with permuted block tables.
+"""Document fingerprints: SimHash with block tables and flipped bits.
 
 Terms are runs of ``WIDTH`` words; each distinct term of a text votes with its
 weight (1 + ln of its count) for or against each of 128 bits, by the bits of
